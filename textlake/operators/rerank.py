@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
@@ -14,18 +15,31 @@ from textlake.functions.fixed_values import CANDIDATE_K, RERANK_K
 from textlake.operators.dedupe import top_per_group
 from textlake.operators.nearest import nearest
 
-Scorer = Callable[[Column, Column], Column]
+@dataclass(frozen=True)
+class Scorer:
+    """How well a passage fits a query; higher is better.
+
+    ``prepare`` is applied to every query and every passage once, ``score`` to
+    each pair of what it gives.
+    """
+
+    score: Callable[[Column, Column], Column]
+    prepare: Callable[[Column], Column] = lambda text: text
 
 
-def _words(text: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""))
+def words(text: Column) -> Column:
+    """The different lower-cased words of a text."""
+    return F.array_remove(F.array_distinct(F.split(F.lower(text), r"\s+")), "")
 
 
-def word_overlap(query: Column, passage: Column) -> Column:
-    """Shared words of two texts over all their words: 1 for the same set of words."""
-    a, b = _words(query), _words(passage)
-    every = F.size(F.array_union(a, b))
-    return F.when(every > 0, F.size(F.array_intersect(a, b)) / every).otherwise(0.0)
+def shared_words(a: Column, b: Column) -> Column:
+    """Words in both arrays over words in either: 1 for the same set of words."""
+    shared = F.size(F.array_intersect(a, b))
+    every = F.size(a) + F.size(b) - shared
+    return F.when(every > 0, shared / every).otherwise(0.0)
+
+
+WORD_OVERLAP = Scorer(shared_words, words)
 
 
 def model_scorer(
@@ -42,27 +56,34 @@ def model_scorer(
         model = load_model()
         return lambda queries, passages: np.asarray(model(queries, passages), dtype=np.float64)
 
-    return predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size)
+    return Scorer(
+        predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size)
+    )
 
 
-def rerank(pairs: DataFrame, k: int = RERANK_K, score: Scorer = word_overlap) -> DataFrame:
-    """The ``k`` best passages of each query by score, ties by ``doc_id``.
+def rerank(
+    queries: DataFrame,
+    hits: DataFrame,
+    passages: DataFrame,
+    k: int = RERANK_K,
+    scorer: Scorer = WORD_OVERLAP,
+) -> DataFrame:
+    """The ``k`` best hits of each query by score, ties by ``doc_id``.
 
-    ``pairs`` has ``query_id, doc_id, query, passage``; no pair gives no row.
+    ``queries`` has ``query_id, query``, ``passages`` ``doc_id, text``. The
+    result is ``query_id, doc_id, passage, score, rank``; no hit gives no row.
+    The passages themselves are fetched for the rows that stay.
     """
-    scored = pairs.select(
-        "query_id", "doc_id", "passage", score(F.col("query"), F.col("passage")).alias("score")
-    )
-    return top_per_group(scored, ["query_id"], [F.desc("score"), "doc_id"], k)
-
-
-def candidate_pairs(queries: DataFrame, hits: DataFrame, passages: DataFrame) -> DataFrame:
-    """Hits with the text of their query and of their passage."""
-    return (
+    asked = queries.select("query_id", scorer.prepare(F.col("query")).alias("_query"))
+    held = passages.select("doc_id", scorer.prepare(F.col("text")).alias("_passage"))
+    scored = (
         hits.select("query_id", "doc_id")
-        .join(queries.select("query_id", "query"), "query_id")
-        .join(passages.select("doc_id", F.col("text").alias("passage")), "doc_id")
+        .join(held, "doc_id")
+        .join(asked, "query_id")
+        .select("query_id", "doc_id", scorer.score(F.col("_query"), F.col("_passage")).alias("score"))
     )
+    best = top_per_group(scored, ["query_id"], [F.desc("score"), "doc_id"], k)
+    return best.join(passages.select("doc_id", F.col("text").alias("passage")), "doc_id")
 
 
 def retrieve_and_rerank(
@@ -71,9 +92,9 @@ def retrieve_and_rerank(
     passages: DataFrame,
     candidate_k: int = CANDIDATE_K,
     final_k: int = RERANK_K,
-    score: Scorer = word_overlap,
+    scorer: Scorer = WORD_OVERLAP,
     **search,
 ) -> DataFrame:
     """The nearest ``candidate_k`` passages of each query, reranked to ``final_k``."""
     hits = nearest(queries, corpus, candidate_k, **search)
-    return rerank(candidate_pairs(queries, hits, passages), final_k, score)
+    return rerank(queries, hits, passages, final_k, scorer)

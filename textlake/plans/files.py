@@ -48,8 +48,8 @@ def news_json_scan(spark, folder):
 def news_json_landing(spark, folder):
     path = work_path(spark, "landing")
     writers.land_json(news(spark, folder), path, LANDING_DAY)
-    landed = spark.read.schema(readers.NEWS.add("ingest_date", "string")).json(path)
-    return landed.select("source", "title", "link", "published", "summary", "ingest_date")
+    landed = spark.read.schema(readers.NEWS).json(path)
+    return landed.withColumn("ingest_date", F.col("ingest_date").cast("string"))
 
 
 def parquet_round_trip(spark, folder):
@@ -82,9 +82,10 @@ def feed_items(spark, folder):
 def document_dir_scan(spark, folder):
     """A folder tree with one file per document."""
     path = work_path(spark, "texts")
-    table(spark, folder, "documents").select("lang", "text").write.partitionBy("lang").option(
-        "maxRecordsPerFile", 1
-    ).text(path)
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    documents.repartition(spark.sparkContext.defaultParallelism, "doc_id").select(
+        "lang", "text"
+    ).write.partitionBy("lang").option("maxRecordsPerFile", 1).text(path)
     read = readers.read_documents(spark, path, "*.txt")
     return read.select(F.regexp_extract("doc_id", "lang=([a-z]+)/", 1).alias("lang"), "text")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textlake.functions import fixed_values as fixed
 from textlake.operators import answers
 from textlake.operators.nearest import nearest, relevant
-from textlake.operators.rerank import candidate_pairs, rerank, retrieve_and_rerank
+from textlake.operators.rerank import rerank, retrieve_and_rerank
 from textlake.plans.views import WRAPPED_SQL, table, wrapped_documents
 
 # Few of the given vectors lie within the default threshold; more do in this one.
@@ -60,10 +60,9 @@ def reranked(spark, folder):
 
 
 def rerank_topk(spark, folder):
-    pairs = candidate_pairs(
-        text_queries(spark, folder), hits(spark, folder, fixed.CANDIDATE_K), passages(spark, folder)
-    )
-    return rerank(pairs).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
+    found = hits(spark, folder, fixed.CANDIDATE_K)
+    best = rerank(text_queries(spark, folder), found, passages(spark, folder))
+    return best.select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
 def wide_hits(spark, folder):
