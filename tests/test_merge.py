@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import pytest
+
+from textlake.operators import merge
+from textlake.operators.cleaning import clean_news
+from textlake.sources.readers import NEWS
+
+
+@pytest.fixture(scope="module")
+def store(spark):
+    rows = [("BBC", f"t{i}", f"l{i}", "p", "s") for i in range(5)]
+    return clean_news(spark.createDataFrame(rows, NEWS))
+
+
+@pytest.fixture(scope="module")
+def fresh(spark):
+    return spark.createDataFrame(
+        [
+            ("BBC", "t1", "l1", "p", "known"),
+            ("CNN", "new", "l7", "p", "b"),
+            ("CNN", "new", "l7", "p", "a"),
+            ("CNN", "", "l8", "p", "untitled"),
+            ("CNN", "no link", None, "p", "x"),
+            ("CNN", "no link", None, "p", "y"),
+        ],
+        NEWS,
+    )
+
+
+@pytest.mark.parametrize("limit", [0, merge.BROADCAST_BYTES])
+def test_new_items_either_way(monkeypatch, fresh, store, limit):
+    monkeypatch.setattr(merge.fits_broadcast, "__defaults__", (limit,))
+    got = merge.new_items(fresh, store).collect()
+    assert sorted((r["link"] or "", r["summary"]) for r in got) == [
+        ("", "x"),
+        ("l7", "a"),
+        ("l8", "untitled"),
+    ]
+
+
+def test_a_null_key_is_known_once_stored(spark, fresh):
+    assert merge.not_in(fresh, fresh, ["link"]).count() == 0
+
+
+def test_fits_broadcast(spark):
+    df = spark.createDataFrame([("x" * 100,)] * 10, "a string")
+    assert merge.fits_broadcast(df, 10 * 116)
+    assert not merge.fits_broadcast(df, 10 * 116 - 1)
+
+
+def test_merge_items(store, fresh):
+    merged = merge.merge_items(store, fresh)
+    assert merged.columns == store.columns
+    assert merged.count() == 7
+    assert merged.where("sentiment IS NULL OR text_combined IS NULL").count() == 0
+
+
+def test_merge_fills_missing_columns_with_null(store, fresh):
+    merged = merge.merge_items(store.drop("published"), fresh)
+    assert merged.where("published IS NULL").count() == store.count()
+
+
+def test_append_twice_is_append_once(spark, store, fresh, tmp_path):
+    path = str(tmp_path / "store")
+    store.write.parquet(path)
+    for _ in range(2):
+        merge.append_new_items(fresh, path)
+        assert spark.read.parquet(path).count() == 7
+
+
+def test_nothing_new_writes_nothing(spark, store, tmp_path):
+    path = tmp_path / "store"
+    store.write.parquet(str(path))
+    before = sorted(p.name for p in path.iterdir())
+    merge.append_new_items(store.select(*NEWS.names), str(path))
+    assert sorted(p.name for p in path.iterdir()) == before
+
+
+def test_refresh_summary(store, fresh):
+    assert tuple(merge.refresh_summary(store, fresh).first()) == (2, 7)
+    assert tuple(merge.refresh_summary(store, store.select(*NEWS.names)).first()) == (0, 5)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +16,10 @@ def chunk_array(text: Column, size: int, overlap: int) -> Column:
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
 
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, size, overlap) if t else [])
+    @F.arrow_udf("array<string>")
+    def split(texts: pa.Array) -> pa.Array:
+        chunks = [split_text(t, size, overlap) if t else [] for t in texts.to_pylist()]
+        return pa.array(chunks, pa.list_(pa.string()))
 
     return split(text)
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textlake.functions import fixed_values as fixed
@@ -50,9 +51,10 @@ def clean_sales(sales: DataFrame, valid_status: Sequence[str] = fixed.VALID_STAT
             "status": F.trim("status"),
             "order_date": F.try_to_date(F.col("order_date"), "yyyy-MM-dd"),
         }
-    ).dropna(subset=["order_id", "order_date", "amount", "quantity"])
+    )
+    needed = [F.col(name).isNotNull() for name in ("order_id", "order_date", "amount", "quantity")]
     return (
-        keep_first(tidy, ["order_id"])
+        keep_first(tidy.where(reduce(Column.__and__, needed)), ["order_id"])
         .where(F.col("status").isin(*valid_status) & (F.col("amount") > 0))
         .withColumn("revenue", F.round(F.col("amount") * F.col("quantity"), 2))
     )

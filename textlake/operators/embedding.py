@@ -3,24 +3,25 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
-from collections.abc import Callable
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, Tokenizer
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 Encoder = Callable[[np.ndarray], np.ndarray]
 
 
 def unit_length(vectors: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; a row of zeros stays as it is."""
-    length = np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = np.asarray(vectors, dtype=np.float64)
+    length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
     return vectors / np.where(length == 0, 1, length)
 
 
@@ -31,48 +32,48 @@ def hashed_words(dims: int = 384) -> Callable[[], Encoder]:
     modulo ``dims``.
     """
 
-    def load() -> Encoder:
-        @lru_cache(maxsize=1 << 16)
-        def place(word: str) -> int:
-            return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dims
+    def place(word: str) -> int:
+        return int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % dims
 
-        def encode(texts: np.ndarray) -> np.ndarray:
-            vectors = np.zeros((len(texts), dims))
-            for row, text in enumerate(texts):
-                for word, n in Counter(text.lower().split()).items():
-                    vectors[row, place(word)] += n
-            return vectors
+    def encode(texts: np.ndarray) -> np.ndarray:
+        words = [text.lower().split() for text in texts]
+        codes, different = pd.factorize(np.array(list(chain.from_iterable(words)), dtype=object))
+        places = np.fromiter(map(place, different), np.int64, len(different))
+        rows = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+        counts = np.bincount(rows * dims + places[codes], minlength=len(texts) * dims)
+        return counts.reshape(len(texts), dims)
 
-        return encode
-
-    return load
+    return lambda: encode
 
 
 def embed_text(
     df: DataFrame,
     load_encoder: Callable[[], Encoder] | None = None,
     text: str = "text",
-    batch_size: int = 256,
+    batch_size: int = 1024,
 ) -> DataFrame:
     """Add ``embedding``, the unit-length vector of a text column.
 
-    ``load_encoder`` runs once in each Python worker and returns a function from
-    an array of texts to a matrix of one row each. Missing text counts as empty.
+    ``load_encoder`` runs once in each task and returns a function from an array
+    of texts to a matrix of one row each; it gets ``batch_size`` texts at a
+    time. Missing text counts as empty.
     """
     load = load_encoder or hashed_words()
 
-    def make_predict():
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = load()
-
-        def predict(texts: np.ndarray) -> np.ndarray:
-            return unit_length(np.asarray(encode(texts), dtype=np.float64)).astype(np.float32)
-
-        return predict
-
-    embed = predict_batch_udf(
-        make_predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
-    )
-    return df.withColumn("embedding", embed(F.coalesce(F.col(text), F.lit(""))))
+        for batch in batches:
+            texts = batch.to_pandas().to_numpy()
+            vectors = [
+                unit_length(encode(texts[at : at + batch_size])).astype(np.float32)
+                for at in range(0, len(texts), batch_size)
+            ]
+            ends = np.cumsum([0] + [part.shape[1] for part in vectors for _ in part])
+            flat = np.concatenate([part.ravel() for part in vectors] or [np.empty(0, np.float32)])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+    vector = F.arrow_udf(embed, "array<float>")
+    return df.withColumn("embedding", vector(F.coalesce(F.col(text), F.lit(""))))
 
 
 def fit_tfidf(df: DataFrame, text: str = "text", dims: int = 384) -> PipelineModel:

@@ -36,7 +36,7 @@ def shared_words(a: Column, b: Column) -> Column:
     """Words in both arrays over words in either: 1 for the same set of words."""
     shared = F.size(F.array_intersect(a, b))
     every = F.size(a) + F.size(b) - shared
-    return F.when(every > 0, shared / every).otherwise(0.0)
+    return F.coalesce(F.try_divide(shared, every), F.lit(0.0))
 
 
 WORD_OVERLAP = Scorer(shared_words, words)
