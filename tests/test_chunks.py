@@ -82,3 +82,58 @@ def test_wrap_documents(spark):
         "published": "",
         "sentiment": "neutral",
     }
+
+
+def plain_split(text, size, overlap, separators=("\n\n", "\n", " ", "")):
+    """The same by plain string handling, for comparison."""
+    separator, *finer = separators
+    if separator and separator not in text:
+        return plain_split(text, size, overlap, finer)
+    if separator:
+        head, *tail = text.split(separator)
+        pieces = [p for p in (head, *(separator + t for t in tail)) if p]
+    else:
+        pieces = list(text)
+    chunks, run = [], []
+
+    def join(run):
+        out, now = [], []
+        for piece in run:
+            if now and len("".join(now)) + len(piece) > size:
+                out.append("".join(now))
+                while now and (
+                    len("".join(now)) > overlap or len("".join(now)) + len(piece) > size
+                ):
+                    now = now[1:]
+            now = [*now, piece]
+        return out + ["".join(now)] if now else out
+
+    for piece in pieces:
+        if len(piece) < size:
+            run.append(piece)
+            continue
+        chunks += join(run)
+        run = []
+        chunks += plain_split(piece, size, overlap, finer) if finer else [piece]
+    chunks += join(run)
+    return [c.strip() for c in chunks if c.strip()]
+
+
+@settings(max_examples=500, deadline=None)
+@given(TEXTS, st.integers(1, 40), st.integers(0, 39))
+def test_equals_plain_split(text, size, overlap):
+    overlap = min(overlap, size - 1)
+    assert split_text(text, size, overlap) == plain_split(text, size, overlap)
+
+
+def test_documents_equal_plain_split(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got: dict[int, list[str]] = {}
+    for row in chunk_documents(docs).orderBy("doc_id", "chunk_no").collect():
+        got.setdefault(row["doc_id"], []).append(row["text"])
+    assert got == {
+        doc_id: chunks
+        for doc_id, text in texts.items()
+        if (chunks := plain_split(text, 500, 50))
+    }

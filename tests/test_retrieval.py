@@ -96,6 +96,22 @@ def test_embed_tfidf(spark):
     assert not np.array_equal(got[1], got[3])
 
 
+def test_tfidf_weighs_rare_words_more(spark):
+    # m documents, a word in n of them: weight log((m + 1) / (n + 1)) per occurrence.
+    df = spark.createDataFrame(
+        [(1, "common rare rare"), (2, "common"), (3, "common other")], "id int, text string"
+    )
+    got = {r["id"]: np.array(r["embedding"]) for r in embed_tfidf(df, fit_tfidf(df)).collect()}
+    assert not got[2].any()
+    assert sorted(got[1][got[1] > 0]) == [1.0]
+    df = spark.createDataFrame(
+        [(1, "a b b"), (2, "a c"), (3, "d")], "id int, text string"
+    )
+    got = {r["id"]: np.array(r["embedding"]) for r in embed_tfidf(df, fit_tfidf(df)).collect()}
+    a, b = np.log(4 / 3), 2 * np.log(4 / 2)
+    assert np.allclose(sorted(got[1][got[1] > 0]), sorted(np.array([a, b]) / np.hypot(a, b)))
+
+
 @pytest.fixture
 def documents(spark):
     return spark.createDataFrame(

@@ -112,17 +112,17 @@ def nearest(
     embedding``; ids are unique. The distance is the squared Euclidean one, or
     with ``metric="cosine"`` one minus the cosine. Ties go to the smaller id.
 
-    A first job measures both sides. Few queries are sent to all executors and
-    every corpus partition is read once, where it is. Many queries are cut into
-    pieces, as is the corpus, and each pair of pieces meets in one task. Either
-    way only ``k`` rows per query and task are shuffled, never a pair's vectors.
+    A first job measures the queries. Few of them are sent to all executors, and
+    every corpus partition is read once, where it is. Many are cut into pieces,
+    as is the corpus, and each pair of pieces meets in one task. Either way a
+    task gives ``k`` rows per query, never the scores of all its pairs.
     """
     if metric not in ("sq_l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     if k < 1:
         raise ValueError("k must be at least 1")
     queries = queries.select("query_id", "embedding").where("embedding is not null")
-    corpus = corpus.select("doc_id", "embedding").where("embedding is not null")
+    held = corpus.select("doc_id", "embedding").where("embedding is not null")
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -130,29 +130,25 @@ def nearest(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    query_bytes = _size(queries)
-    if query_bytes <= broadcast_bytes:
-        hits = _scan(queries, corpus, k, metric, skip_same_id, schema)
+    width = F.size("embedding") * 8 + F.octet_length(F.col("query_id").cast("string"))
+    size = queries.agg(
+        F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"),
+        F.max(F.size("embedding")).alias("dims"),
+    ).first()
+    if size["bytes"] <= broadcast_bytes:
+        hits = _scan(queries, held, k, metric, skip_same_id, schema)
     else:
+        # Counting all rows of a Parquet table reads no column.
+        corpus_bytes = corpus.count() * size["dims"] * 8
+        query_pieces = math.ceil(size["bytes"] / cell_bytes)
+        corpus_pieces = 1 + corpus_bytes // cell_bytes
         hits = _meet(
-            queries,
-            corpus,
-            math.ceil(query_bytes / cell_bytes),
-            math.ceil(_size(corpus) / cell_bytes),
-            k,
-            metric,
-            skip_same_id,
-            schema,
+            queries, held, query_pieces, corpus_pieces, k, metric, skip_same_id, schema
         )
     ranked = top_per_group(hits, ["query_id"], ["distance", "doc_id"], k)
     return ranked.select("query_id", "doc_id", "rank", "distance")
 
 
-def _size(vectors: DataFrame) -> int:
-    width = (F.size("embedding") * 8).cast("bigint")
-    return vectors.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()["size"]
-
-
 def _scan(queries, corpus, k, metric, skip_same_id, schema) -> DataFrame:
     few = queries.toArrow()
     if not few.num_rows:

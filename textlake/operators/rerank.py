@@ -19,8 +19,8 @@ from textlake.operators.nearest import nearest
 class Scorer:
     """How well a passage fits a query; higher is better.
 
-    ``prepare`` is applied to every query and every passage once, ``score`` to
-    each pair of what it gives.
+    ``prepare`` is applied to a query, and to a passage that was found for one;
+    ``score`` to the two things it gives.
     """
 
     score: Callable[[Column, Column], Column]
@@ -72,18 +72,21 @@ def rerank(
 
     ``queries`` has ``query_id, query``, ``passages`` ``doc_id, text``. The
     result is ``query_id, doc_id, passage, score, rank``; no hit gives no row.
-    The passages themselves are fetched for the rows that stay.
+    Passages are prepared after the join: only those found, not all there are.
     """
     asked = queries.select("query_id", scorer.prepare(F.col("query")).alias("_query"))
-    held = passages.select("doc_id", scorer.prepare(F.col("text")).alias("_passage"))
     scored = (
         hits.select("query_id", "doc_id")
-        .join(held, "doc_id")
+        .join(passages.select("doc_id", F.col("text").alias("passage")), "doc_id")
         .join(asked, "query_id")
-        .select("query_id", "doc_id", scorer.score(F.col("_query"), F.col("_passage")).alias("score"))
+        .select(
+            "query_id",
+            "doc_id",
+            "passage",
+            scorer.score(F.col("_query"), scorer.prepare(F.col("passage"))).alias("score"),
+        )
     )
-    best = top_per_group(scored, ["query_id"], [F.desc("score"), "doc_id"], k)
-    return best.join(passages.select("doc_id", F.col("text").alias("passage")), "doc_id")
+    return top_per_group(scored, ["query_id"], [F.desc("score"), "doc_id"], k)
 
 
 def retrieve_and_rerank(

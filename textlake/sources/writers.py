@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A report above this many rows is written by many tasks, not by one.
 SINGLE_FILE_ROWS = 1_000_000
@@ -50,5 +50,11 @@ def create_if_missing(df_like: DataFrame, path: str) -> None:
     df_like.limit(0).write.mode("ignore").parquet(path)
 
 
-def empty_like(spark, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def rows_stored(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet table, 0 if there is none; reads only the file footers."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
