@@ -44,6 +44,12 @@ def test_sentiment_of_whole_words(spark):
     assert got == ["neutral", "neutral", "positive", "negative"]
 
 
+def test_strict_date(spark):
+    rows = ["2026-02-28", "2026-02-30", "2026-2-3", "2026", "2026-01-05\n", "2026-01-05T10", "", None]
+    got = apply(spark, lambda c: tx.strict_date(c).cast("string"), *[(r,) for r in rows])
+    assert got == ["2026-02-28", *[None] * 7]
+
+
 def test_combined_text(spark):
     got = apply(spark, tx.combined_text, ("A", "B"), ("A", None), (None, None))
     assert got == ["a b", "a", ""]

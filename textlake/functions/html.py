@@ -13,22 +13,17 @@ from textlake.functions.text import strip, text_or_empty
 # Elements whose content is not text of the page. Script and style run to the
 # end of the page when they are never closed.
 _RAW = [
-    rf"<{name}(?:\s[^>]*+)?>.*?(?:</{name}\s*>|\z)" for name in ("script", "style")
+    rf"{name}(?:\s[^>]*+)?>.*?(?:</{name}\s*>|\z)" for name in ("script", "style")
 ] + [
-    rf"<{name}(?:\s[^>]*+)?>.*?</{name}\s*>" for name in ("template", "rt", "rp")
+    rf"{name}(?:\s[^>]*+)?>.*?</{name}\s*>" for name in ("template", "rt", "rp")
 ]
 # A tag ends at the first ">" outside a quoted attribute value, or, when quotes
 # do not match up, at the first ">" of all.
-MARKUP = (
-    "(?is)"
-    + "|".join(
-        [r"<!--.*?-->", *_RAW]
-        + [
-            r"""<[a-z/!?](?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+>""",
-            r"<[a-z/!?][^>]*+>",
-        ]
-    )
-)
+_TAGS = [
+    r"""[a-z/!?](?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+>""",
+    r"[a-z/!?][^>]*+>",
+]
+MARKUP = "(?is)<(?:" + "|".join(["!--.*?-->", *_RAW, *_TAGS]) + ")"
 _PIECES = r"(&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[a-zA-Z][a-zA-Z0-9]*;?|[^&]+|&)"
 
 # Numbers 128 to 159 mean Windows-1252 characters in HTML.

@@ -23,6 +23,14 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def strict_date(text: Column) -> Column:
+    """The date written as ``yyyy-MM-dd``; null for anything else or no such day.
+
+    The cast alone would take more spellings, and a date format is slower.
+    """
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text.try_cast("date"))
+
+
 def combined_text(title: Column, summary: Column) -> Column:
     """Title and summary as one lower-cased text; a missing one is left out."""
     return F.lower(F.concat_ws(" ", title, summary))

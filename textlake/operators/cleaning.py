@@ -49,7 +49,7 @@ def clean_sales(sales: DataFrame, valid_status: Sequence[str] = fixed.VALID_STAT
             "region": F.trim("region"),
             "category": F.lower(F.trim("category")),
             "status": F.trim("status"),
-            "order_date": F.try_to_date(F.col("order_date"), "yyyy-MM-dd"),
+            "order_date": tx.strict_date(F.col("order_date")),
         }
     )
     needed = [F.col(name).isNotNull() for name in ("order_id", "order_date", "amount", "quantity")]
