@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from textlake.functions.fixed_values import CHAT_PROMPT
+from textlake.functions.fixed_values import CHAT_PROMPT, REWRITE_PROMPT
 from textlake.operators import sessions
 
 ROWS = [
@@ -60,6 +60,16 @@ def test_chat_prompts(spark, messages, part_turns):
         assert len(rows) == 2
 
 
+def test_rewrite_prompts(messages):
+    questions = sessions.latest_questions(messages)
+    history = sessions.messages_before(messages, questions)
+    rows = sessions.chat_prompts(questions, history, template=REWRITE_PROMPT).collect()
+    assert {r["conv_id"]: r["prompt"] for r in rows} == {
+        1: REWRITE_PROMPT.format(chat_history="System: s\nHuman: q1\nAI: a1", question="q2"),
+        2: REWRITE_PROMPT.format(chat_history="", question="only"),
+    }
+
+
 def test_drop_sessions(spark, messages):
     ids = spark.createDataFrame([(1,), (9,), (1,)], "conv_id bigint")
     assert {r["conv_id"] for r in sessions.drop_sessions(messages, ids).collect()} == {2, 3}

@@ -79,3 +79,8 @@ TRANSLATION_PROMPT = (
     "Output ONLY the English translation, without quotes or any other text.\n\n"
     "Chinese: {question}\nEnglish:"
 )
+REWRITE_PROMPT = (
+    "System: Convert follow‑up question into a self‑contained search query. "
+    "Output ONLY the query text, nothing else.\n"
+    "Human: Chat history:\n{chat_history}\n\nLatest question: {question}"
+)

@@ -60,15 +60,22 @@ def messages_before(messages: DataFrame, questions: DataFrame) -> DataFrame:
 
 
 def chat_prompts(
-    questions: DataFrame, history: DataFrame, part_turns: int = PART_TURNS
+    questions: DataFrame,
+    history: DataFrame,
+    part_turns: int = PART_TURNS,
+    template: str = CHAT_PROMPT,
 ) -> DataFrame:
     """``conv_id, part, prompt`` from ``conv_id, question, context`` and messages.
 
+    With ``template=REWRITE_PROMPT`` they ask for a search query instead of an
+    answer, and need no context.
+
     The parts of a prompt, put one behind the other, are the whole prompt. Its
     beginning goes with the first part of the history and its end with the last,
     so no long conversation has to come together in one place.
     """
-    before, after = CHAT_PROMPT.split("{chat_history}")
+    before, after = template.split("{chat_history}")
+    values = {name: F.col(name) for name in ("context", "question") if name in questions.columns}
     ends = history.groupBy("conv_id").agg(
         _part(F.min("turn"), part_turns).alias("first"),
         _part(F.max("turn"), part_turns).alias("last"),
@@ -77,9 +84,7 @@ def chat_prompts(
         "conv_id",
         F.coalesce("first", F.lit(0)).alias("first"),
         F.coalesce("last", F.lit(0)).alias("last"),
-        tx.fill_template(
-            after, context=F.col("context"), question=F.col("question")
-        ).alias("tail"),
+        tx.fill_template(after, **values).alias("tail"),
     )
     lines = history.select(
         "conv_id",

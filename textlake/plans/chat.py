@@ -54,6 +54,17 @@ def chat_prompt_rows(spark, folder, part_turns=sessions.PART_TURNS):
     )
 
 
+def rewrite_prompt_rows(spark, folder):
+    """The prompt that turns the last question of a conversation into a query."""
+    everything = messages(spark, folder)
+    questions = sessions.latest_questions(everything)
+    return sessions.chat_prompts(
+        questions,
+        sessions.messages_before(everything, questions),
+        template=fixed.REWRITE_PROMPT,
+    )
+
+
 def query_cleanup(spark, folder):
     """Messages dressed up as rewritten queries; some keep too little."""
     text = F.col("text")
@@ -95,6 +106,7 @@ QUERIES = {
     "drop_status": lambda s, d: sessions.drop_status(messages(s, d), toxic_ids(s, d)),
     "chat_prompt_rows": chat_prompt_rows,
     "chat_prompt_parts": lambda s, d: chat_prompt_rows(s, d, SHORT_PART),
+    "rewrite_prompt_rows": rewrite_prompt_rows,
     "query_cleanup": query_cleanup,
     "translation_cleanup": translation_cleanup,
     "cjk_flag": cjk_flag,
@@ -117,21 +129,23 @@ QUESTIONS_SQL = """
 questions AS (
   SELECT conv_id, max(turn) AS q_turn, arg_max(text, turn) AS question
   FROM conversations WHERE role = 'user' GROUP BY conv_id)"""
-BEFORE, AFTER = fixed.CHAT_PROMPT.split("{chat_history}")
+ASKED_SQL = "SELECT * FROM questions JOIN contexts ON conv_id = query_id"
 
 
-def chat_prompts_sql(part_turns: int) -> str:
-    return f"""WITH {RERANKED_SQL}, {LINES_SQL}, {QUESTIONS_SQL},
+def chat_prompts_sql(
+    part_turns: int, template: str = fixed.CHAT_PROMPT, source: str = ASKED_SQL, **values: str
+) -> str:
+    before, after = template.split("{chat_history}")
+    retrieved = f"{RERANKED_SQL}," if "contexts" in source else ""
+    return f"""WITH {retrieved} {LINES_SQL}, {QUESTIONS_SQL},
 asked AS (
-  SELECT conv_id, q_turn,
-    {template_sql(AFTER, context="context", question="question")} AS tail
-  FROM questions JOIN contexts ON conv_id = query_id),
+  SELECT conv_id, q_turn, {template_sql(after, **values)} AS tail FROM ({source})),
 parts AS (
   SELECT conv_id, l.turn // {part_turns} AS part, string_agg(line, chr(10) ORDER BY turn) AS history
   FROM lines l JOIN asked USING (conv_id) WHERE turn < q_turn GROUP BY ALL),
 ends AS (SELECT conv_id, min(part) AS first, max(part) AS last FROM parts GROUP BY conv_id)
 SELECT conv_id, coalesce(part, 0) AS part,
-  CASE WHEN part > first THEN chr(10) ELSE {sql_text(BEFORE)} END || coalesce(history, '')
+  CASE WHEN part > first THEN chr(10) ELSE {sql_text(before)} END || coalesce(history, '')
     || CASE WHEN part < last THEN '' ELSE tail END AS prompt
 FROM asked LEFT JOIN parts USING (conv_id) LEFT JOIN ends USING (conv_id)"""
 
@@ -157,8 +171,13 @@ ORACLES = {
           CASE WHEN doc_id IN (SELECT conv_id FROM conversations)
                THEN 'deleted' ELSE 'not_found' END AS status
         FROM labels WHERE toxic = 1""",
-    "chat_prompt_rows": chat_prompts_sql(sessions.PART_TURNS),
-    "chat_prompt_parts": chat_prompts_sql(SHORT_PART),
+    "chat_prompt_rows": chat_prompts_sql(
+        sessions.PART_TURNS, context="context", question="question"
+    ),
+    "chat_prompt_parts": chat_prompts_sql(SHORT_PART, context="context", question="question"),
+    "rewrite_prompt_rows": chat_prompts_sql(
+        sessions.PART_TURNS, fixed.REWRITE_PROMPT, "FROM questions", question="question"
+    ),
     "query_cleanup": f"""
         WITH dressed AS (
           SELECT *, CASE role WHEN 'user' THEN 'Rewritten question: "' || text || '"'
