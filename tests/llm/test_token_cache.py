@@ -1,0 +1,61 @@
+"""Token counts against the tokenizer itself."""
+
+from __future__ import annotations
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from textlake.llm import registry, token_cache
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def test_query_counts_whole_texts(spark, folder, tokenizer):
+    rows = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    got = {r.doc_id: r for r in registry.op10_token_counts(spark, folder).collect()}
+    assert len(got) == len(rows)
+    for row in rows:
+        n = len(tokenizer.encode(row.text, add_special_tokens=False).ids)
+        assert got[row.doc_id].n_tokens == n
+        assert got[row.doc_id].over_limit == (n > 2048)
+        assert got[row.doc_id].n_bytes == len(row.text.encode())
+
+
+ODD = [
+    "",
+    None,
+    "  \n\t ",
+    "a<|endoftext|>b <|startoftext|> it's I'LL don't 12,5 %%",
+    "café éé ́x  a b  c\u0085d İSTANBUL ΑΣ ß ﬁ 漢字 🙂🙂",
+    "word " * 3000,
+    "x" * 50_000,
+    "\x1c\x1d a\x00b ​ zero",
+    "a  b\n\nc",
+    "a b c",
+]
+
+
+def test_odd_texts_and_the_cache(spark, tmp_path, tokenizer, monkeypatch):
+    rows = [(i, t, 0) for i, t in enumerate(ODD)] + [(None, "a b c", 1), (3, ODD[3], 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    cache = str(tmp_path / "cache")
+    for _ in range(2):  # the second run finds all in the cache
+        got = token_cache.count_tokens(docs, PATH, cache).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            text = "a b c" if r.doc_id is None else ODD[r.doc_id]
+            assert r.n_tokens == len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+    path = f"{cache}/version={token_cache.tokenizer_version(PATH)}"
+    stored = spark.read.parquet(path)
+    # Equal but for white space: "" and None and blank; "a  b\\n\\nc" and "a b c".
+    assert stored.count() == len(ODD) - 3
+    more = docs.union(spark.createDataFrame([(99, "fresh words", 0)], docs.schema))
+    assert token_cache.count_tokens(more, PATH, cache).where("doc_id = 99").first().n_tokens == 2
+    assert spark.read.parquet(path).count() == len(ODD) - 2
+    assert token_cache.count_tokens(docs.limit(0), PATH, str(tmp_path / "none")).count() == 0
