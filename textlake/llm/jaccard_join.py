@@ -305,18 +305,19 @@ def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFram
     """The documents with one row of each group of near copies, all columns as they are.
 
     The row with the smallest ``doc_id`` stays; of rows equal in ``doc_id`` and text, one. Rows without
-    ``doc_id`` stay unless their text's group has a number.
+    ``doc_id`` count as the last of their group; texts without words all stay.
     """
-    spark = documents.sparkSession
-    scratch = Scratch(spark, "one-of-each")
-    found = scratch.keep(near_copies(documents, size, percent), "components")
-    gone = found.where("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
-    gone = gone.select(F.col("doc_id").alias("_doc_id")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-    kept = documents.join(_few(gone), same, "left_anti")
-    often = found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_doc_id"))
+    scratch = Scratch(documents.sparkSession, "one-of-each")
+    last = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62))
+    number = F.coalesce(F.col("doc_id").cast("bigint"), last)
+    found = scratch.keep(near_copies(documents.select(number.alias("doc_id"), "text"), size, percent), "found")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_number")).distinct()
+    kept = documents.join(_few(gone), number == F.col("_number"), "left_anti")
+    often = found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_number"))
     often = scratch.keep(often, "repeated")
     if often.isEmpty():
         return kept
-    once = kept.join(_few(often), same, "left_anti")
-    return once.unionByName(kept.join(_few(often), same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    often = _few(often)
+    once = kept.join(often, number == F.col("_number"), "left_anti")
+    same = kept.join(often, number == F.col("_number"), "left_semi")
+    return once.unionByName(same.dropDuplicates(["doc_id", "text"]))
