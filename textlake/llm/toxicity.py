@@ -7,8 +7,8 @@ what a target stands near. They are composed into a single machine (``compose``)
 run over a clause ends in the clause's score; the words alone score nothing. A text's scores over all of its
 clauses go through a logistic function.
 
-Insults are learned: words that labelled toxic texts have far more often than the others, each with
-its weight. The labels come from a bounded sample of the labelled rows (``SAMPLE_ROWS``),
+Insults are learned: words, and beginnings of words, that labelled toxic texts have far more often
+than the others, each with its weight; a short list is known from the start. The labels come from a bounded sample of the labelled rows (``SAMPLE_ROWS``),
 chosen by a hash; threats, targets, negations and reports are fixed word lists.
 """
 
@@ -32,11 +32,18 @@ SAMPLE_ROWS = 30_000
 MIN_TEXTS = 5
 MIN_LOG_ODDS = 3.0
 MAX_INSULTS = 20_000
+# Bytes of a word's beginning that are learned like a word, in longer words.
+STEM = 5
 
 NONE, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
 # Word lists in English, German, French and Spanish.
 WORDS = {
+    INSULT: (
+        "idiot idiots moron stupid dumb scum trash loser pathetic worthless disgusting clown fool bastard "
+        "dumm dummkopf trottel abschaum versager widerlich wertlos imbécile crétin débile ordure nul "
+        "imbécil estúpido idiota basura inútil asqueroso perdedor payaso"
+    ).split(),
     THREAT: (
         "kill hurt destroy smash punch shoot stab burn töten umbringen schlagen verletzen "
         "tuer frapper blesser détruire matar golpear herir destruir"
@@ -147,18 +154,36 @@ def bare_words(piece: Slice) -> Words:
     return Words(hashes, found.first, start, end)
 
 
+def stems(piece: Slice, found: Words) -> np.ndarray:
+    """A hash of the beginning of each word; of words that are no longer, their own hash."""
+    data = np.frombuffer(piece.data.tobytes().lower(), np.uint8)
+    longer = found.end - found.start > STEM
+    out = found.hash.copy()
+    start = found.start[longer]
+    if len(start):
+        out[longer] = ~stretch_hash(prefix_hash(data), start, start + STEM)
+    return out
+
+
 def word_hash(word: str) -> int:
     piece = next(slices(pa.array([word])))
     return int(bare_words(piece).hash[0])
 
 
-def _tagged(found: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the words that have a symbol, and their rows of the model."""
-    at = np.searchsorted(model.hashes, found.hash)
-    at[at == len(model.hashes)] = 0
-    known = model.hashes[at] == found.hash if len(model.hashes) else np.zeros(len(at), bool)
-    places = np.flatnonzero(known)
-    return places, at[places]
+def _rows_of(hashes: np.ndarray, model: Model) -> np.ndarray:
+    """The model's row of each hash, or -1."""
+    if not len(model.hashes):
+        return np.full(len(hashes), -1)
+    at = np.searchsorted(model.hashes, hashes).clip(0, len(model.hashes) - 1)
+    return np.where(model.hashes[at] == hashes, at, -1)
+
+
+def _tagged(piece: Slice, found: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words that have a symbol, by themselves or by their beginning, and their rows."""
+    own = _rows_of(found.hash, model)
+    own = np.where(own >= 0, own, _rows_of(stems(piece, found), model))
+    places = np.flatnonzero(own >= 0)
+    return places, own[places]
 
 
 def _text_scores(piece: Slice, model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +191,7 @@ def _text_scores(piece: Slice, model: Model) -> tuple[np.ndarray, np.ndarray]:
     found = bare_words(piece)
     n = len(found.first) - 1
     total = np.zeros(n)
-    places, rows = _tagged(found, model)
+    places, rows = _tagged(piece, found, model)
     if not len(places):
         return total, np.diff(found.first)
     strong = np.isin(model.symbols[rows], (INSULT, THREAT))
@@ -215,7 +240,9 @@ def _word_rows(batches):
         for piece in slices(batch.column("text")):
             found = bare_words(piece)
             text = np.repeat(np.arange(piece.high - piece.low), np.diff(found.first))
-            distinct, place = np.unique(found.hash, return_inverse=True)
+            text = np.concatenate([text, text])
+            both = np.concatenate([found.hash, stems(piece, found)])
+            distinct, place = np.unique(both, return_inverse=True)
             if not len(distinct):
                 continue
             own = np.unique(text * len(distinct) + place)  # a word counts once in a text
@@ -275,7 +302,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, rows: int = S
     lexicon: dict[int, tuple[int, float]] = {}
     for symbol, listed in WORDS.items():
         for word in listed:
-            lexicon[word_hash(word)] = (symbol, 1.0 if symbol == THREAT else 0.0)
+            lexicon[word_hash(word)] = (symbol, 1.0 if symbol in (INSULT, THREAT) else 0.0)
     for r in learned:
         lexicon[int(np.int64(r["word"]).view(np.uint64))] = (INSULT, r["odds"] / MIN_LOG_ODDS)
     hashes = np.array(sorted(lexicon), np.uint64)
