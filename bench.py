@@ -16,9 +16,6 @@ import time
 from textlake import plans
 from textlake.session import build_session
 
-# Left out of the default run: mostly the time to make thousands of small files.
-SLOW = {"document_dir_scan"}
-
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -37,7 +34,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     for name, query in plans.queries().items():
-        if wanted and name not in wanted or not wanted and name in SLOW:
+        if wanted and name not in wanted:
             continue
         took = []
         for _ in range(runs + 1):

@@ -95,6 +95,6 @@ def test_a_hot_conversation_is_spread_over_its_parts(spark):
         F.lit("user").alias("role"),
         F.lit("x").alias("text"),
     )
-    parts = sessions.render_history(hot)
+    parts = sessions.history_parts(hot, 1000)
     assert parts.count() == 50
     assert parts.agg(F.max(F.length("history"))).first()[0] < 20_000

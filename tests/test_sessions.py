@@ -23,14 +23,14 @@ def messages(spark):
 
 
 def test_render_history(messages):
-    got = {(r["conv_id"], r["part"]): r["history"] for r in sessions.render_history(messages).collect()}
+    got = {(r["conv_id"], r["part"]): r["history"] for r in sessions.history_parts(messages, 1000).collect()}
     assert got[(1, 0)] == "System: s\nHuman: q1\nAI: a1\nHuman: q2"
     assert len(got) == 3
 
 
 def test_parts_join_to_the_whole(messages):
-    parts = sessions.render_history(messages, 2).where("conv_id = 1").orderBy("part").collect()
-    assert [r["part"] for r in parts] == [0, 1]
+    parts = sessions.history_parts(messages, 2).where("conv_id = 1").orderBy("part").collect()
+    assert [(r["part"], r["n_parts"]) for r in parts] == [(0, 2), (1, 2)]
     assert "\n".join(r["history"] for r in parts) == "System: s\nHuman: q1\nAI: a1\nHuman: q2"
 
 
@@ -46,7 +46,7 @@ def test_chat_prompts(spark, messages, part_turns):
         spark.createDataFrame([(1, "C1"), (2, "C2")], "conv_id bigint, context string"), "conv_id"
     )
     history = sessions.messages_before(messages, questions)
-    rows = sessions.chat_prompts(asked, history, part_turns).orderBy("conv_id", "part").collect()
+    rows = sessions.prompt_parts(asked, history, part_turns).orderBy("conv_id", "part").collect()
     prompts = {
         conv: "".join(r["prompt"] for r in rows if r["conv_id"] == conv) for conv in (1, 2)
     }
@@ -56,6 +56,8 @@ def test_chat_prompts(spark, messages, part_turns):
         ),
         2: CHAT_PROMPT.format(chat_history="", context="C2", question="only"),
     }
+    sizes = {conv: sum(r["conv_id"] == conv for r in rows) for conv in (1, 2)}
+    assert all(r["n_parts"] == sizes[r["conv_id"]] for r in rows)
     if part_turns == 1000:
         assert len(rows) == 2
 
@@ -63,7 +65,7 @@ def test_chat_prompts(spark, messages, part_turns):
 def test_rewrite_prompts(messages):
     questions = sessions.latest_questions(messages)
     history = sessions.messages_before(messages, questions)
-    rows = sessions.chat_prompts(questions, history, template=REWRITE_PROMPT).collect()
+    rows = sessions.prompt_parts(questions, history, 1000, REWRITE_PROMPT).collect()
     assert {r["conv_id"]: r["prompt"] for r in rows} == {
         1: REWRITE_PROMPT.format(chat_history="System: s\nHuman: q1\nAI: a1", question="q2"),
         2: REWRITE_PROMPT.format(chat_history="", question="only"),

@@ -5,10 +5,16 @@ from __future__ import annotations
 import json
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from textlake import session
-from textlake.operators.vector_table import append_vectors, rebuild_vector_table, vector_rows
+from textlake.operators.vector_table import (
+    append_vectors,
+    rebuild_vector_table,
+    update_vectors,
+    vector_rows,
+)
 from textlake.sources import readers, writers
 from textlake.streaming.refresh import start_refresh
 
@@ -76,21 +82,24 @@ def test_range_and_records(spark):
     assert tuple(got[1]) == (None, "only", None, None, None)
 
 
-def test_csv_report_is_one_file_in_order(spark, tmp_path, monkeypatch):
+def test_csv_report_is_one_file_in_order(spark, tmp_path):
     report = spark.range(0, 1000, 1, 4).orderBy(F.desc("id"))
     path = tmp_path / "report"
     writers.write_csv_report(report, str(path))
     (file,) = path.glob("part-*.csv")
     assert [int(x) for x in file.read_text().split()[1:]] == list(range(999, -1, -1))
-    monkeypatch.setattr(writers, "SINGLE_FILE_ROWS", 10)
-    writers.write_csv_report(report, str(path))
+    writers.write_csv_report(spark.range(0, 1000, 1, 4), str(path), single_file=False)
     assert len(list(path.glob("part-*.csv"))) > 1
 
 
 def test_landing_and_round_trip(spark, tmp_path):
     items = readers.from_records(spark, [ITEM])
-    writers.land_json(items, str(tmp_path / "landing"), "2026-09-12")
-    (file,) = (tmp_path / "landing" / "ingest_date=2026-09-12").glob("*.json")
+    other = readers.from_records(spark, [{**ITEM, "source": "other"}])
+    for landed in (items, other, items):
+        writers.land_json(landed, str(tmp_path / "landing"), "2026-09-12")
+    assert len(list((tmp_path / "landing").rglob("part-*.json"))) == 2
+    feed = tmp_path / "landing" / "ingest_date=2026-09-12" / f"feed={ITEM['source']}"
+    (file,) = feed.glob("*.json")
     assert json.loads(file.read_text()) == ITEM
     assert "é" in file.read_text()
     assert writers.round_trip(items, str(tmp_path / "table")).collect() == items.collect()
@@ -130,6 +139,33 @@ def test_vector_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_update_embeds_only_what_changed(spark, tmp_path):
+    path, log = str(tmp_path / "vectors"), str(tmp_path / "log")
+
+    def load():
+        def encode(texts):
+            with open(log, "a") as file:
+                file.writelines(f"{t[:5]}\n" for t in texts)
+            return np.ones((len(texts), 3))
+
+        return encode
+
+    def run(**texts):
+        docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+        open(log, "w").close()
+        update_vectors(docs, path, 500, 50, load)
+        rows = spark.read.parquet(path).collect()
+        return sorted((r["id"], r["text"][:5]) for r in rows), sorted(set(open(log).read().split()))
+
+    long = "aaaaa " * 150
+    assert run(a=long, b="bbbbb") == ([("a#0", "aaaaa"), ("a#1", "aaaaa"), ("b#0", "bbbbb")], ["aaaaa", "bbbbb"])
+    assert run(a=long, b="bbbbb")[1] == []
+    got, embedded = run(a="new a", b="b" * 9 + " bb" * 400, c="ccccc")
+    assert [g for g in got if g[0][0] != "b"] == [("a#0", "new a"), ("c#0", "ccccc")]
+    assert len([g for g in got if g[0][0] == "b"]) > 1 and "aaaaa" not in embedded
+    assert len(run(b="bbbbb")[0]) == 3
+
+
 def land(spark, path, day, *links):
     items = [{**ITEM, "link": link, "title": "" if link == "blank" else "a win"} for link in links]
     writers.land_json(readers.from_records(spark, items), path, day)
@@ -170,7 +206,7 @@ def test_a_batch_that_failed_half_way_is_completed(spark, tmp_path, monkeypatch)
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(refresh, "append_new_items", fail)
+        patch.setattr(refresh, "write_parquet", fail)
         with pytest.raises(Exception, match="lost"):
             start_refresh(spark, landing, store, checkpoint, vectors).awaitTermination()
     assert spark.read.parquet(vectors).count() == 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -38,7 +39,7 @@ def combined_text(title: Column, summary: Column) -> Column:
 
 def _has_any(text: Column, words: Sequence[str], whole_word: bool) -> Column:
     if whole_word:
-        return text.rlike(r"\b(?:" + "|".join(words) + r")\b")
+        return text.rlike(r"\b(?:" + "|".join(re.escape(w) for w in words) + r")\b")
     return reduce(Column.__or__, [F.contains(text, F.lit(w)) for w in words])
 
 
@@ -100,14 +101,14 @@ def clean_rewritten_query(rewritten: Column, original: Column) -> Column:
     """A rewritten query without the prefixes and quotes a model adds.
 
     The prefixes go wherever they stand. What is left must be longer than eight
-    characters, else the original question is used.
+    characters, else (or if the model gave nothing) the original question is used.
     """
     bare = reduce(
         lambda text, prefix: F.replace(text, F.lit(prefix), F.lit("")),
         fixed.REWRITE_PREFIXES,
         rewritten,
     )
-    bare = strip(F.translate(bare, "\"'", ""))
+    bare = F.coalesce(strip(F.translate(bare, "\"'", "")), F.lit(""))
     return F.when(F.length(bare) <= fixed.REWRITE_MIN_LENGTH, original).otherwise(bare)
 
 
@@ -119,7 +120,7 @@ def clean_translated_query(translated: Column, original: Column) -> Column:
             F.startswith(F.upper(bare), F.lit(prefix.upper())),
             strip(F.substr(bare, F.lit(len(prefix) + 1))),
         ).otherwise(bare)
-    bare = F.btrim(bare, F.lit("\"'"))
+    bare = F.coalesce(F.btrim(bare, F.lit("\"'")), F.lit(""))
     return F.when(bare == "", original).otherwise(bare)
 
 

@@ -4,8 +4,8 @@
     python -m textlake.jobs sales   IN.csv OUT
     python -m textlake.jobs news    'IN/*.json' OUT
     python -m textlake.jobs land    OUT NAME=FEED.xml ...
-    python -m textlake.jobs refresh LANDING STORE CHECKPOINT [--vectors TABLE]
-    python -m textlake.jobs index   DIRECTORY TABLE [--append]
+    python -m textlake.jobs refresh LANDING STORE CHECKPOINT [--vectors TABLE] [--arrays]
+    python -m textlake.jobs index   DIRECTORY TABLE [--append] [--chunk-size N --chunk-overlap N]
     python -m textlake.jobs ask     QUERIES.json STORE TABLE OUT [--top-k N] [--no-model]
 
 ``--encoder package.module:function`` names a function that loads a model and
@@ -17,7 +17,7 @@ from __future__ import annotations
 import argparse
 import importlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from textlake.functions import fixed_values as fixed
@@ -25,7 +25,12 @@ from textlake.operators import cleaning
 from textlake.operators.answers import answer_queries
 from textlake.operators.chunking import wrap_documents
 from textlake.operators.embedding import embed_text
-from textlake.operators.vector_table import append_vectors, rebuild_vector_table, vector_rows
+from textlake.operators.vector_table import (
+    BUCKETS,
+    rebuild_vector_table,
+    update_vectors,
+    vector_rows,
+)
 from textlake.session import build_session, object_store_settings, work_path
 from textlake.sources import readers, writers
 from textlake.streaming.refresh import start_refresh
@@ -52,10 +57,16 @@ def sales(spark: SparkSession, source: str, target: str) -> None:
 
 def news(spark: SparkSession, source: str, target: str) -> None:
     """Cleaned news as a table, and the number of items with each label."""
-    raw, seen = cleaning.count_rows(readers.read_json_arrays(spark, source), "raw news")
+    broken = Observation("broken news files")
+    raw, seen = cleaning.count_rows(
+        readers.read_json_arrays(spark, source, broken=broken), "raw news"
+    )
     cleaned, kept = cleaning.count_rows(cleaning.clean_news(raw), "cleaned news")
     stored = writers.round_trip(cleaned, target)
-    print(f"news: {seen.get['rows']} items read, {kept.get['rows']} kept")
+    print(
+        f"news: {seen.get['rows']} items read, {kept.get['rows']} kept, "
+        f"{broken.get['files']} files could not be parsed"
+    )
     cleaning.count_per_group(stored, "sentiment").show()
 
 
@@ -67,21 +78,41 @@ def land(spark: SparkSession, target: str, *feeds: str) -> None:
     items.unpersist()
 
 
-def refresh(spark, landing, store, checkpoint, vectors=None, load_encoder=None) -> None:
+def refresh(
+    spark, landing, store, checkpoint, vectors=None, load_encoder=None, arrays=False
+) -> None:
     """Take in what landed; prints how many items are new and how many there are."""
     before = writers.rows_stored(spark, store)
-    start_refresh(spark, landing, store, checkpoint, vectors, load_encoder).awaitTermination()
+    start_refresh(
+        spark, landing, store, checkpoint, vectors, load_encoder, arrays=arrays
+    ).awaitTermination()
     total = writers.rows_stored(spark, store)
     print(f"NEW_NEWS={total - before} total={total}")
 
 
-def index(spark, directory, table, append=False, load_encoder=None) -> None:
-    """All Markdown files below a directory as a vector table, or added to one."""
-    rows = vector_rows(readers.read_documents(spark, directory), load_encoder=load_encoder)
+def index(
+    spark,
+    directory,
+    table,
+    append=False,
+    load_encoder=None,
+    size=fixed.DIRECTORY_CHUNKS[0],
+    overlap=fixed.DIRECTORY_CHUNKS[1],
+) -> None:
+    """All Markdown files below a directory as a vector table.
+
+    With ``append`` the table is brought in line with the files: new ones are
+    added, changed ones replaced, and only these are embedded.
+    """
+    documents = readers.read_documents(spark, directory)
     if append:
-        append_vectors(rows, table)
+        update_vectors(documents, table, size, overlap, load_encoder)
     else:
-        rebuild_vector_table(rows, table)
+        documents = documents.withColumns(
+            {"doc_hash": F.md5("text"), "bucket": F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")}
+        )
+        rows = vector_rows(documents, size, overlap, load_encoder)
+        rebuild_vector_table(rows, table, "bucket")
     print(f"index: {writers.rows_stored(spark, table)} chunks")
 
 
@@ -107,6 +138,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("paths", nargs="+")
     parser.add_argument("--vectors")
     parser.add_argument("--append", action="store_true")
+    parser.add_argument("--chunk-size", type=int, default=fixed.DIRECTORY_CHUNKS[0])
+    parser.add_argument("--chunk-overlap", type=int, default=fixed.DIRECTORY_CHUNKS[1])
+    parser.add_argument("--arrays", action="store_true", help="landed files are JSON arrays")
     parser.add_argument("--top-k", type=int, default=fixed.TOP_K)
     parser.add_argument("--no-model", action="store_true")
     parser.add_argument("--encoder")
@@ -116,8 +150,17 @@ def main(arguments: list[str] | None = None) -> None:
         module, name = given.encoder.split(":")
         encoder = getattr(importlib.import_module(module), name)
     options = {
-        "refresh": {"vectors": given.vectors, "load_encoder": encoder},
-        "index": {"append": given.append, "load_encoder": encoder},
+        "refresh": {
+            "vectors": given.vectors,
+            "load_encoder": encoder,
+            "arrays": given.arrays,
+        },
+        "index": {
+            "append": given.append,
+            "load_encoder": encoder,
+            "size": given.chunk_size,
+            "overlap": given.chunk_overlap,
+        },
         "ask": {
             "top_k": given.top_k,
             "use_model": not given.no_model,

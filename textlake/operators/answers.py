@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textlake.functions import fixed_values as fixed
 from textlake.functions import text as tx
+from textlake.operators.merge import few
 from textlake.operators.nearest import nearest, relevant
 
 
@@ -33,8 +34,12 @@ def plain_context(ranked: DataFrame, text: str = "passage") -> DataFrame:
 
 
 def with_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
-    """Hits with ``page_content`` and ``metadata`` of their document."""
-    return hits.join(documents.select("doc_id", "page_content", "metadata"), "doc_id")
+    """Hits with ``page_content`` and ``metadata`` of their document.
+
+    Few hits (measured) go to the documents, whose texts are then not shuffled.
+    Hits without a document are not among the rows.
+    """
+    return documents.select("doc_id", "page_content", "metadata").join(few(hits), "doc_id")
 
 
 def citation_block() -> Column:
@@ -93,12 +98,18 @@ def answer_rows(
 ) -> DataFrame:
     """One row per query: ``query_id, query, status, answer, sources, context, prompt``.
 
-    A query without hits stays, with no sources and no prompt. ``prompt`` is
+    A query without hits stays, with no sources and no prompt (``nothing_found``);
+    so does one of whose hits no document is there (``text_missing``). ``prompt`` is
     ready for a batch model; pass its ``query_id, answer`` as ``model_answers``
     to have them here. Until then, ``answer`` says why there is none.
     """
     found = cited_context(with_documents(hits, documents))
-    rows = queries.select("query_id", "query").join(found, "query_id", "left")
+    hit = hits.select("query_id").distinct().withColumn("_hit", F.lit(True))
+    rows = (
+        queries.select("query_id", "query")
+        .join(found, "query_id", "left")
+        .join(hit, "query_id", "left")
+    )
     empty = F.col("context").isNull()
     if model_answers is not None and use_model:
         rows = rows.join(
@@ -111,7 +122,8 @@ def answer_rows(
     return rows.select(
         "query_id",
         "query",
-        F.when(empty, "nothing_found")
+        F.when(empty & F.col("_hit"), "text_missing")
+        .when(empty, "nothing_found")
         .when(F.col("_answer").isNotNull(), "answered")
         .otherwise(without)
         .alias("status"),

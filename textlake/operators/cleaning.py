@@ -13,15 +13,19 @@ from textlake.functions import text as tx
 from textlake.operators.dedupe import keep_first, top_per_group
 
 
+def age_in_years() -> Column:
+    """``age`` as a whole number, its decimals cut off; null where the text is no number."""
+    return F.col("age").try_cast("double").try_cast("int")
+
+
 def older_than(people: DataFrame, years: int) -> DataFrame:
     """Name and age of people above an age; text that is no number does not count."""
-    age = F.col("age").try_cast("int")
-    return people.select("name", "age").where(age > years)
+    return people.where(age_in_years() > years).select("name", "age")
 
 
 def clean_people(people: DataFrame) -> DataFrame:
     """Drop people without a valid age; a missing city becomes ``Unknown``."""
-    return people.where(F.col("age").try_cast("int") >= 0).withColumn(
+    return people.where(age_in_years() >= 0).withColumn(
         "city", F.coalesce("city", F.lit("Unknown"))
     )
 
@@ -33,7 +37,7 @@ def count_per_group(df: DataFrame, *group: str) -> DataFrame:
 
 def oldest_per_city(people: DataFrame, n: int = 2) -> DataFrame:
     """The ``n`` oldest people of each city, by age as a number, ties by id."""
-    order = [F.col("age").try_cast("int").desc(), F.col("id").try_cast("bigint")]
+    order = [age_in_years().desc(), F.col("id").try_cast("bigint")]
     return top_per_group(people, ["city"], order, n)
 
 

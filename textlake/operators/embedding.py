@@ -54,6 +54,10 @@ def embed_text(
 ) -> DataFrame:
     """Add ``embedding``, the unit-length vector of a text column.
 
+    A text that the encoder gives a vector of zeros, such as one without words,
+    has no direction and gets null: searches leave it out, and a question like
+    it finds nothing.
+
     ``load_encoder`` runs once in each task and returns a function from an array
     of texts to a matrix of one row each; it gets ``batch_size`` texts at a
     time. Missing text counts as empty.
@@ -70,7 +74,10 @@ def embed_text(
             ]
             ends = np.cumsum([0] + [part.shape[1] for part in vectors for _ in part])
             flat = np.concatenate([part.ravel() for part in vectors] or [np.empty(0, np.float32)])
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            none = np.concatenate([~part.any(axis=1) for part in vectors] or [np.empty(0, bool)])
+            yield pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(flat), mask=pa.array(none)
+            )
 
     vector = F.arrow_udf(embed, "array<float>")
     return df.withColumn("embedding", vector(F.coalesce(F.col(text), F.lit(""))))

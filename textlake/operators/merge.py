@@ -25,6 +25,11 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return size <= limit
 
 
+def few(df: DataFrame) -> DataFrame:
+    """The table, marked to be sent to the other side of a join if it is measured to be small."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def _keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(name).alias(f"_{name}") for name in key])
 

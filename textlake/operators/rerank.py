@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from textlake.functions.fixed_values import CANDIDATE_K, RERANK_K
 from textlake.operators.dedupe import top_per_group
+from textlake.operators.merge import few
 from textlake.operators.nearest import nearest
 
 @dataclass(frozen=True)
@@ -73,11 +74,14 @@ def rerank(
     ``queries`` has ``query_id, query``, ``passages`` ``doc_id, text``. The
     result is ``query_id, doc_id, passage, score, rank``; no hit gives no row.
     Passages are prepared after the join: only those found, not all there are.
+    The hits go to the passages when they are measured to be few, so the texts
+    are not shuffled. A hit whose passage is missing can't be scored; see
+    ``answers.with_documents`` for hits that must not be lost.
     """
     asked = queries.select("query_id", scorer.prepare(F.col("query")).alias("_query"))
     scored = (
-        hits.select("query_id", "doc_id")
-        .join(passages.select("doc_id", F.col("text").alias("passage")), "doc_id")
+        passages.select("doc_id", F.col("text").alias("passage"))
+        .join(few(hits.select("query_id", "doc_id")), "doc_id")
         .join(asked, "query_id")
         .select(
             "query_id",

@@ -1,8 +1,9 @@
 """Conversations kept as a table of messages: ``conv_id, turn, role, text``.
 
 ``turn`` is the position of a message in its conversation, from 0. A
-conversation may be of any length, so it is rendered in parts of a fixed number
-of turns; an ordinary one is a single part.
+conversation may be of any length, so it is rendered in parts of a number of
+turns that the caller sets. Every part says how many there are (``n_parts``): a
+text with more than one part is whole only when all are put together.
 """
 
 from __future__ import annotations
@@ -14,9 +15,6 @@ from textlake.functions import text as tx
 from textlake.functions.fixed_values import CHAT_PROMPT
 from textlake.operators.merge import not_in
 
-PART_TURNS = 1000
-
-
 def _part(turn: Column, part_turns: int) -> Column:
     return F.floor(turn / part_turns).cast("bigint")
 
@@ -27,12 +25,18 @@ def _lines() -> Column:
     return F.array_join(F.transform(pairs, lambda pair: pair["line"]), "\n")
 
 
-def render_history(messages: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """``conv_id, part, history``: the messages in order, one line each.
+def _with_n_parts(parts: DataFrame) -> DataFrame:
+    """Parts with the number of parts of their conversation."""
+    counts = parts.groupBy("conv_id").agg(F.count("*").alias("n_parts"))
+    return parts.join(counts, "conv_id")
+
+
+def history_parts(messages: DataFrame, part_turns: int) -> DataFrame:
+    """``conv_id, part, history, n_parts``: the messages in order, one line each.
 
     The parts of a conversation, joined by newlines, are its whole history.
     """
-    return (
+    return _with_n_parts(
         messages.select(
             "conv_id",
             _part(F.col("turn"), part_turns).alias("part"),
@@ -59,13 +63,13 @@ def messages_before(messages: DataFrame, questions: DataFrame) -> DataFrame:
     return messages.join(at, "conv_id").where(F.col("turn") < F.col("_turn")).drop("_turn")
 
 
-def chat_prompts(
+def prompt_parts(
     questions: DataFrame,
     history: DataFrame,
-    part_turns: int = PART_TURNS,
+    part_turns: int,
     template: str = CHAT_PROMPT,
 ) -> DataFrame:
-    """``conv_id, part, prompt`` from ``conv_id, question, context`` and messages.
+    """``conv_id, part, prompt, n_parts`` from ``conv_id, question, context`` and messages.
 
     With ``template=REWRITE_PROMPT`` they ask for a search query instead of an
     answer, and need no context.
@@ -94,7 +98,7 @@ def chat_prompts(
     )
     heads = asked.select("conv_id", F.col("first").alias("part"), F.lit(before).alias("head"))
     tails = asked.select("conv_id", F.col("last").alias("part"), "tail")
-    return (
+    return _with_n_parts(
         lines.unionByName(heads, allowMissingColumns=True)
         .unionByName(tails, allowMissingColumns=True)
         .groupBy("conv_id", "part")
@@ -115,11 +119,10 @@ def drop_sessions(messages: DataFrame, ids: DataFrame) -> DataFrame:
 
 def drop_status(messages: DataFrame, ids: DataFrame) -> DataFrame:
     """``conv_id, status`` for each id: ``deleted``, or ``not_found``."""
-    known = messages.select("conv_id").distinct().withColumn("_known", F.lit(True))
+    wanted = ids.select("conv_id").distinct()
+    known = messages.select("conv_id").join(wanted, "conv_id", "left_semi").distinct()
     return (
-        ids.select("conv_id")
-        .distinct()
-        .join(known, "conv_id", "left")
+        wanted.join(known.withColumn("_known", F.lit(True)), "conv_id", "left")
         .select(
             "conv_id",
             F.when(F.col("_known"), "deleted").otherwise("not_found").alias("status"),

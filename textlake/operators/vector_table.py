@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from textlake.functions.fixed_values import DIRECTORY_CHUNKS
 from textlake.operators.chunking import chunk_documents
 from textlake.operators.embedding import Encoder, embed_text
-from textlake.operators.merge import new_items
+from textlake.operators.dedupe import keep_first
+from textlake.operators.merge import few, new_items, not_in
+from textlake.session import work_path
+from textlake.sources.writers import create_if_missing, round_trip
 
 KEY = ("doc_id", "chunk_no")
+# Parts of a table that is updated; a change rewrites only the parts it falls in.
+BUCKETS = 64
 
 
 def vector_rows(
@@ -28,9 +33,57 @@ def vector_rows(
     )
 
 
-def rebuild_vector_table(rows: DataFrame, path: str) -> None:
+def rebuild_vector_table(rows: DataFrame, path: str, *parts: str) -> None:
     """Replace the whole table; ``rows`` must not come from it."""
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").partitionBy(*parts).parquet(path)
+
+
+def update_vectors(
+    documents: DataFrame,
+    path: str,
+    size: int = DIRECTORY_CHUNKS[0],
+    overlap: int = DIRECTORY_CHUNKS[1],
+    load_encoder: Callable[[], Encoder] | None = None,
+    buckets: int = BUCKETS,
+) -> None:
+    """Bring the table in line with ``doc_id, text, …``, one row per document.
+
+    Each chunk carries a hash of its document's whole text. Documents the table
+    has with the same text are left alone, before anything is embedded; a new one
+    is added; a changed one replaces all its chunks. The table lies in parts by a
+    hash of ``doc_id``, and a replacement rewrites the parts it falls in. A run
+    that fails can be repeated: what it had done already counts as unchanged.
+    """
+    spark = documents.sparkSession
+    marked = keep_first(documents, ["doc_id"]).withColumns(
+        {
+            "doc_hash": F.md5(F.coalesce("text", F.lit(""))),
+            "bucket": F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"),
+        }
+    )
+    create_if_missing(vector_rows(marked.limit(0), size, overlap, load_encoder), path)
+    table = spark.read.parquet(path)
+    known = table.select("doc_id", "doc_hash").distinct()
+    todo = round_trip(not_in(marked, known, ["doc_id", "doc_hash"]), work_path(spark, "changed"))
+    old = known.join(few(todo.select("doc_id")), "doc_id", "left_semi").select("doc_id").distinct()
+    old = round_trip(old, work_path(spark, "replaced"))
+    rows = vector_rows(todo, size, overlap, load_encoder).select(*table.columns)
+    fresh = not_in(rows, old, ["doc_id"])
+    fresh.write.mode("append").partitionBy("bucket").parquet(path)
+    if old.isEmpty():
+        return
+    changed = rows.join(few(old), "doc_id", "left_semi")
+    parts = [
+        r["bucket"]
+        for r in todo.join(few(old), "doc_id", "left_semi").select("bucket").distinct().collect()
+    ]
+    kept = not_in(spark.read.parquet(path).where(F.col("bucket").isin(parts)), old, ["doc_id"])
+    staged = round_trip(
+        kept.select(*table.columns).unionByName(changed), work_path(spark, "parts")
+    )
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "bucket"
+    ).parquet(path)
 
 
 def append_vectors(rows: DataFrame, path: str) -> None:

@@ -19,8 +19,8 @@ from textlake.plans.retrieval import (
 )
 from textlake.plans.views import strip_sql, table
 
-# Histories are also rendered in short parts, as long conversations are.
-SHORT_PART = 3
+# Turns in a part: more than the given conversations have, and short parts.
+LONG_PART, SHORT_PART = 1000, 3
 
 
 def messages(spark, folder):
@@ -33,7 +33,7 @@ def toxic_ids(spark, folder):
     return labels.where("toxic = 1").select(F.col("doc_id").alias("conv_id"))
 
 
-def chat_prompt_rows(spark, folder, part_turns=sessions.PART_TURNS):
+def chat_prompt_rows(spark, folder, part_turns=LONG_PART):
     """The prompt for the last question of each conversation.
 
     Its context comes from the search for the vector of the same number.
@@ -47,8 +47,9 @@ def chat_prompt_rows(spark, folder, part_turns=sessions.PART_TURNS):
         asked, corpus(spark, folder), passages(spark, folder), skip_same_id=True
     )
     contexts = plain_context(found).withColumnRenamed("query_id", "conv_id")
-    return sessions.chat_prompts(
-        questions.join(contexts, "conv_id"),
+    asked = questions.join(contexts, "conv_id", "left")
+    return sessions.prompt_parts(
+        asked.withColumn("context", F.coalesce("context", F.lit(""))),
         sessions.messages_before(everything, questions),
         part_turns,
     )
@@ -58,20 +59,21 @@ def rewrite_prompt_rows(spark, folder):
     """The prompt that turns the last question of a conversation into a query."""
     everything = messages(spark, folder)
     questions = sessions.latest_questions(everything)
-    return sessions.chat_prompts(
+    return sessions.prompt_parts(
         questions,
         sessions.messages_before(everything, questions),
+        LONG_PART,
         template=fixed.REWRITE_PROMPT,
     )
 
 
 def query_cleanup(spark, folder):
-    """Messages dressed up as rewritten queries; some keep too little."""
+    """Messages dressed up as rewritten queries; some keep too little, some are null."""
     text = F.col("text")
     rewritten = (
         F.when(F.col("role") == "user", F.concat(F.lit('Rewritten question: "'), text, F.lit('"')))
         .when(F.col("role") == "assistant", F.concat(F.lit("AI: Human:' "), text, F.lit(" User:")))
-        .otherwise(" 'AI:  short' ")
+        .when(F.col("turn") == 0, " 'AI:  short' ")
     )
     return messages(spark, folder).select(
         "conv_id", "turn", tx.clean_rewritten_query(rewritten, text).alias("query")
@@ -79,12 +81,12 @@ def query_cleanup(spark, folder):
 
 
 def translation_cleanup(spark, folder):
-    """Messages dressed up as translations; some are empty."""
+    """Messages dressed up as translations; some are empty, some are null."""
     text = F.col("text")
     translated = (
         F.when(F.col("role") == "user", F.concat(F.lit(' english: "'), text, F.lit('"')))
         .when(F.col("role") == "assistant", F.concat(F.lit("Translation: EN:"), text, F.lit(" ")))
-        .otherwise("\n''\"\" ")
+        .when(F.col("turn") == 0, "\n''\"\" ")
     )
     return messages(spark, folder).select(
         "conv_id", "turn", tx.clean_translated_query(translated, text).alias("query")
@@ -100,8 +102,8 @@ def cjk_flag(spark, folder):
 
 
 QUERIES = {
-    "session_history": lambda s, d: sessions.render_history(messages(s, d)),
-    "session_history_parts": lambda s, d: sessions.render_history(messages(s, d), SHORT_PART),
+    "session_history": lambda s, d: sessions.history_parts(messages(s, d), LONG_PART),
+    "session_history_parts": lambda s, d: sessions.history_parts(messages(s, d), SHORT_PART),
     "drop_sessions": lambda s, d: sessions.drop_sessions(messages(s, d), toxic_ids(s, d)),
     "drop_status": lambda s, d: sessions.drop_status(messages(s, d), toxic_ids(s, d)),
     "chat_prompt_rows": chat_prompt_rows,
@@ -121,15 +123,17 @@ lines AS (
 
 def history_sql(part_turns: int) -> str:
     return f"""WITH {LINES_SQL}
-SELECT conv_id, turn // {part_turns} AS part, string_agg(line, chr(10) ORDER BY turn) AS history
-FROM lines GROUP BY ALL"""
+SELECT conv_id, turn // {part_turns} AS part, string_agg(line, chr(10) ORDER BY turn) AS history,
+  count(*) OVER (PARTITION BY conv_id) AS n_parts
+FROM lines GROUP BY conv_id, turn // {part_turns}"""
 
 
 QUESTIONS_SQL = """
 questions AS (
   SELECT conv_id, max(turn) AS q_turn, arg_max(text, turn) AS question
   FROM conversations WHERE role = 'user' GROUP BY conv_id)"""
-ASKED_SQL = "SELECT * FROM questions JOIN contexts ON conv_id = query_id"
+ASKED_SQL = """SELECT questions.*, coalesce(context, '') AS context
+    FROM questions LEFT JOIN contexts ON conv_id = query_id"""
 
 
 def chat_prompts_sql(
@@ -146,7 +150,8 @@ parts AS (
 ends AS (SELECT conv_id, min(part) AS first, max(part) AS last FROM parts GROUP BY conv_id)
 SELECT conv_id, coalesce(part, 0) AS part,
   CASE WHEN part > first THEN chr(10) ELSE {sql_text(before)} END || coalesce(history, '')
-    || CASE WHEN part < last THEN '' ELSE tail END AS prompt
+    || CASE WHEN part < last THEN '' ELSE tail END AS prompt,
+  count(*) OVER (PARTITION BY conv_id) AS n_parts
 FROM asked LEFT JOIN parts USING (conv_id) LEFT JOIN ends USING (conv_id)"""
 
 
@@ -161,7 +166,7 @@ for _prefix in fixed.TRANSLATION_PREFIXES:
     TRANSLATED_SQL = f"regexp_replace({TRANSLATED_SQL}, '^(?i){_prefix}\\s*', '')"
 
 ORACLES = {
-    "session_history": history_sql(sessions.PART_TURNS),
+    "session_history": history_sql(LONG_PART),
     "session_history_parts": history_sql(SHORT_PART),
     "drop_sessions": """
         SELECT * FROM conversations
@@ -172,27 +177,28 @@ ORACLES = {
                THEN 'deleted' ELSE 'not_found' END AS status
         FROM labels WHERE toxic = 1""",
     "chat_prompt_rows": chat_prompts_sql(
-        sessions.PART_TURNS, context="context", question="question"
+        LONG_PART, context="context", question="question"
     ),
     "chat_prompt_parts": chat_prompts_sql(SHORT_PART, context="context", question="question"),
     "rewrite_prompt_rows": chat_prompts_sql(
-        sessions.PART_TURNS, fixed.REWRITE_PROMPT, "FROM questions", question="question"
+        LONG_PART, fixed.REWRITE_PROMPT, "FROM questions", question="question"
     ),
     "query_cleanup": f"""
         WITH dressed AS (
           SELECT *, CASE role WHEN 'user' THEN 'Rewritten question: "' || text || '"'
             WHEN 'assistant' THEN 'AI: Human:'' ' || text || ' User:'
-            ELSE ' ''AI:  short'' ' END AS rewritten FROM conversations),
+            WHEN 'system' THEN CASE turn WHEN 0 THEN ' ''AI:  short'' ' END END AS rewritten
+          FROM conversations),
         bare AS (SELECT *, {_stripped_prefixes("rewritten")} AS bare FROM dressed)
-        SELECT conv_id, turn, CASE WHEN length(bare) <= 8 THEN text ELSE bare END AS query
+        SELECT conv_id, turn, CASE WHEN length(coalesce(bare, '')) <= 8 THEN text ELSE bare END AS query
         FROM bare""",
     "translation_cleanup": f"""
         WITH dressed AS (
           SELECT *, {strip_sql('''CASE role WHEN 'user' THEN ' english: "' || text || '"'
             WHEN 'assistant' THEN 'Translation: EN:' || text || ' '
-            ELSE chr(10) || '\''\'\'""' || ' ' END''')} AS translated FROM conversations),
+            ELSE CASE turn WHEN 0 THEN chr(10) || '\''\'\'""' || ' ' END END''')} AS translated FROM conversations),
         bare AS (SELECT *, trim({TRANSLATED_SQL}, '"''') AS bare FROM dressed)
-        SELECT conv_id, turn, CASE WHEN bare = '' THEN text ELSE bare END AS query FROM bare""",
+        SELECT conv_id, turn, CASE WHEN coalesce(bare, '') = '' THEN text ELSE bare END AS query FROM bare""",
     "cjk_flag": r"""
         SELECT conv_id, turn, regexp_matches(
           CASE WHEN role = 'system' THEN text || ' 新闻' ELSE text END,

@@ -47,8 +47,9 @@ def news_json_scan(spark, folder):
 
 def news_json_landing(spark, folder):
     path = work_path(spark, "landing")
-    writers.land_json(news(spark, folder), path, LANDING_DAY)
-    landed = spark.read.schema(readers.NEWS).json(path)
+    for _ in range(2):  # landing a day again replaces it
+        writers.land_json(news(spark, folder), path, LANDING_DAY)
+    landed = spark.read.schema(readers.NEWS).json(path).drop("feed")
     return landed.withColumn("ingest_date", F.col("ingest_date").cast("string"))
 
 
@@ -75,7 +76,9 @@ def feed_items(spark, folder):
     ).write.partitionBy("lang").option("rowTag", "item").option("rootTag", "channel").format(
         "xml"
     ).save(path)
-    feeds = {lang: f"{path}/lang={lang}" for lang in ("de", "en", "es", "fr", "it")}
+    # A folder for each language written, whichever they are; the last never landed.
+    langs = [r["lang"] for r in documents.select("lang").distinct().collect()]
+    feeds = {lang: f"{path}/lang={lang}" for lang in [*langs, "none"]}
     return readers.read_feeds(spark, feeds)
 
 

@@ -21,6 +21,7 @@ def people(spark, folder) -> DataFrame:
             F.col("c_name").alias("name"),
             F.when(segment == "MACHINERY", F.lit(None))
             .when(segment == "FURNITURE", "unknown")
+            .when(segment == "HOUSEHOLD", (F.col("c_acctbal").cast("decimal(12,2)") / 100).cast("string"))
             .otherwise(F.floor(F.col("c_acctbal") / 100).cast("string"))
             .alias("age"),
             F.when(segment != "BUILDING", F.col("n_name")).alias("city"),
@@ -33,6 +34,8 @@ WITH people AS (
   SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
     CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL
          WHEN c_mktsegment = 'FURNITURE' THEN 'unknown'
+         WHEN c_mktsegment = 'HOUSEHOLD'
+           THEN CAST(CAST(CAST(c_acctbal AS DECIMAL(12, 2)) / 100 AS DECIMAL(18, 6)) AS VARCHAR)
          ELSE CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR) END AS age,
     CASE WHEN c_mktsegment <> 'BUILDING' THEN n_name END AS city
   FROM customer JOIN nation ON c_nationkey = n_nationkey)
@@ -73,16 +76,16 @@ QUERIES = {
 
 ORACLES = {
     "select_filter": PEOPLE_SQL
-    + "SELECT name, age FROM people WHERE TRY_CAST(age AS INTEGER) > 28",
+    + "SELECT name, age FROM people WHERE trunc(TRY_CAST(age AS DOUBLE)) > 28",
     "people_clean": PEOPLE_SQL
     + """SELECT id, name, age, coalesce(city, 'Unknown') AS city
-         FROM people WHERE TRY_CAST(age AS INTEGER) >= 0""",
+         FROM people WHERE trunc(TRY_CAST(age AS DOUBLE)) >= 0""",
     "group_count_ordered": PEOPLE_SQL
     + 'SELECT city, count(*) AS "count" FROM people GROUP BY city',
     "topn_per_group": PEOPLE_SQL
     + """SELECT * FROM (
            SELECT id, name, age, city, CAST(row_number() OVER (PARTITION BY city
-             ORDER BY TRY_CAST(age AS INTEGER) DESC NULLS LAST, CAST(id AS BIGINT))
+             ORDER BY trunc(TRY_CAST(age AS DOUBLE)) DESC NULLS LAST, CAST(id AS BIGINT))
              AS INTEGER) AS rank
            FROM people) WHERE rank <= 2""",
     "sql_view_query": PEOPLE_SQL + "SELECT name, age FROM people WHERE city = 'NATION_3'",

@@ -79,10 +79,10 @@ def prompts(spark, folder):
     contexts = answers.plain_context(reranked(spark, folder))
     return (
         title_queries(spark, folder)
-        .join(contexts, "query_id")
+        .join(contexts, "query_id", "left")
         .select(
             "query_id",
-            answers.document_prompt(F.col("context"), F.col("query")).alias("prompt"),
+            answers.document_prompt(F.coalesce("context", F.lit("")), F.col("query")).alias("prompt"),
             answers.translation_prompt(F.col("query")).alias("translation_prompt"),
         )
     )
@@ -192,7 +192,9 @@ contexts AS (
 def answers_sql(threshold: float, status: str, answer: str) -> str:
     return f"""WITH {cited_sql(threshold)}, {TITLES_SQL}
 SELECT query_id, query,
-  CASE WHEN context IS NULL THEN 'nothing_found' ELSE '{status}' END AS status,
+  CASE WHEN context IS NOT NULL THEN '{status}'
+       WHEN query_id IN (SELECT query_id FROM hits WHERE distance <= {threshold}) THEN 'text_missing'
+       ELSE 'nothing_found' END AS status,
   CASE WHEN context IS NULL THEN {sql_text(fixed.ANSWER_NOTHING_FOUND)}
        ELSE {sql_text(answer)} END AS answer,
   coalesce(sources, '') AS sources, coalesce(context, '') AS context,
@@ -221,9 +223,9 @@ ORACLES = {
     "context_cited": f"WITH {cited_sql(WIDE_THRESHOLD)} SELECT query_id, context FROM contexts",
     "prompt_rows": f"""WITH {RERANKED_SQL}, {TITLES_SQL}
         SELECT query_id,
-          {template_sql(fixed.DOCUMENT_PROMPT, context="context", question="query")} AS prompt,
+          {template_sql(fixed.DOCUMENT_PROMPT, context="coalesce(context, '')", question="query")} AS prompt,
           {template_sql(fixed.TRANSLATION_PROMPT, question="query")} AS translation_prompt
-        FROM queries JOIN contexts USING (query_id)""",
+        FROM queries LEFT JOIN contexts USING (query_id)""",
     "answer_rows": answers_sql(
         WIDE_THRESHOLD, "model_unavailable", fixed.ANSWER_MODEL_UNAVAILABLE
     ),

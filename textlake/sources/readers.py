@@ -6,7 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ def _strings(*names: str) -> T.StructType:
 
 PEOPLE = _strings("id", "name", "age", "city")
 NEWS = _strings("source", "title", "link", "published", "summary")
-FEED_ITEM = _strings("title", "link", "pubDate", "description")
+FEED_ITEM = _strings("title", "link", "pubDate", "description", "_corrupt_record")
 SALES = T.StructType(
     [
         T.StructField("order_id", T.LongType()),
@@ -37,6 +37,16 @@ SALES = T.StructType(
 )
 
 
+def _broken(schema: T.StructType) -> Column:
+    """Whether a row holds what could not be parsed.
+
+    It also looks at a column of the data: Spark refuses to read that mark alone,
+    as a count of the rows would.
+    """
+    data = F.coalesce(F.col(schema.names[0]).cast("string"), F.lit(""))
+    return F.col("_corrupt_record").isNotNull() | (F.length(data) < 0)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -57,10 +67,23 @@ def read_csv(
 
 
 def read_json_arrays(
-    spark: SparkSession, path: str | list[str], schema: T.StructType = NEWS
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = NEWS,
+    broken: Observation | None = None,
 ) -> DataFrame:
-    """JSON files of one array of objects each; the path may be a glob."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+    """JSON files of one array of objects each; the path may be a glob.
+
+    A file that cannot be parsed to its end gives none of its items. With
+    ``broken``, how many there were is counted under ``files`` while the items
+    are read; ``jobs.news`` prints it.
+    """
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    items = spark.read.schema(marked).json(path, multiLine=True)
+    lost = _broken(schema)
+    if broken is not None:
+        items = items.observe(broken, F.count_if(lost).alias("files"))
+    return items.where(~lost).select(*schema.names)
 
 
 def read_feeds(spark: SparkSession, feeds: Mapping[str, str]) -> DataFrame:
@@ -87,7 +110,8 @@ def read_feeds(spark: SparkSession, feeds: Mapping[str, str]) -> DataFrame:
             logger.warning("feed %s did not land at %s", source, path)
             continue
         parts.append(
-            items.select(
+            # A file that is no XML gives one item that holds its text.
+            items.where(~_broken(FEED_ITEM)).select(
                 F.lit(source).alias("source"),
                 text_or_empty(F.col("title")).alias("title"),
                 text_or_empty(F.col("link")).alias("link"),

@@ -6,9 +6,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A report above this many rows is written by many tasks, not by one.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
@@ -23,30 +20,32 @@ def round_trip(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_csv_report(report: DataFrame, path: str) -> None:
-    """One CSV file with a header, rows in the order of the report.
+def write_csv_report(report: DataFrame, path: str, single_file: bool = True) -> None:
+    """CSV with a header, rows in the order of the report.
 
-    A report too large for one task keeps its order over several files.
+    One file, written by one task, unless the caller asks for more: then the
+    rows keep their order over the files.
     """
-    report = report.persist()
-    try:
-        small = report.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-        out = report.coalesce(1) if small else report
-        out.write.mode("overwrite").option("header", True).csv(path)
-    finally:
-        report.unpersist()
+    out = report.coalesce(1) if single_file else report
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def land_json(items: DataFrame, path: str, date: str | None = None) -> None:
-    """Add items as JSON lines below ``ingest_date=…``; ``date`` defaults to today."""
+    """Items as JSON lines below ``ingest_date=…/feed=…``; ``date`` defaults to today.
+
+    ``feed`` repeats ``source``. What a source landed on a day before is replaced,
+    so landing a feed twice leaves it there once; other sources and days stay.
+    """
     day = F.lit(date).cast("date") if date is not None else F.current_date()
-    items.withColumn("ingest_date", day).write.mode("append").partitionBy(
-        "ingest_date"
-    ).json(path, ignoreNullFields=False)
+    items.withColumns({"ingest_date": day, "feed": F.col("source")}).write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date", "feed").json(
+        path, ignoreNullFields=False
+    )
 
 
 def create_if_missing(df_like: DataFrame, path: str) -> None:
-    """Make sure a Parquet table with these columns exists at a path."""
+    """Make sure a Parquet table with these columns exists at a path, if only an empty one."""
     df_like.limit(0).write.mode("ignore").parquet(path)
 
 
