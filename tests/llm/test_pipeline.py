@@ -1,0 +1,62 @@
+"""The pipeline, stage by stage, against plain versions of the stages."""
+
+from __future__ import annotations
+
+import importlib
+
+import numpy as np
+import pytest
+from test_jaccard_join import brute, shingle_set
+
+from textlake.llm import pii, robust_outliers, soft_mixing
+
+pipeline = importlib.import_module("corpus_pipeline")
+
+
+def test_whole_run(spark, folder):
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    got = pipeline.run(spark, folder)
+    assert got.columns == [*documents.columns, "mix_rate", "mix_copies"]
+    rows = {r.doc_id: r for r in got.collect()}
+
+    kept = {r.doc_id for r in robust_outliers.quality_rules(documents).collect() if r.kept}
+    texts = sorted((r.doc_id, r.text) for r in documents.collect() if r.doc_id in kept)
+    own = {doc for doc, _, component in brute(texts, 5, 80) if component == doc}
+    items = [shingle_set(r.text, 5) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    clean = {}
+    for doc, text in texts:
+        shingles = shingle_set(text, 5)
+        if doc in own and not any(10 * len(i & shingles) >= 8 * len(i) for i in items):
+            clean[doc] = pii.redacted(text, list(pii.find_spans(text)))
+    assert len(clean) < len(texts) < documents.count()
+    assert set(rows) <= set(clean)
+    assert all(r.text == clean[d] and r.n_chars == len(r.text) for d, r in rows.items())
+
+    # The last stage by itself, on what should have reached it.
+    before = documents.where(documents.doc_id.isin(list(clean)))
+    before = before.withColumn("text", pii_text(before, clean))
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    wanted = {r.doc_id: r for r in soft_mixing.document_rates(before, labels).collect()}
+    assert set(rows) == {d for d, r in wanted.items() if r.copies > 0}
+    assert np.allclose([r.mix_rate for r in rows.values()], [wanted[d].rate for d in rows], atol=1e-6)
+
+
+def pii_text(df, clean):
+    from pyspark.sql import functions as F
+
+    texts = F.create_map(*[x for d, t in clean.items() for x in (F.lit(d), F.lit(t))])
+    return texts[F.col("doc_id")]
+
+
+@pytest.mark.parametrize("place", range(4))
+def test_stages_on_odd_rows(spark, folder, place):
+    rows = [(1, None, None, None, None), (None, "", "en", "s", 0), (3, "write a@b.cd now " * 9000, "", "", 5)]
+    rows += [(4, "same words again here ok", "en", "s", 1)] * 2
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).selectExpr("*", "1 AS row", "'x' AS `key`", "2 AS n_tokens")
+    name, stage = pipeline.STAGES[place]
+    out = stage(spark, docs, folder)
+    assert out.columns == docs.columns
+    counts = {"quality": 0, "near copies": 4, "decontamination": 5, "private data": 5}
+    assert out.count() == counts[name]
+    assert stage(spark, docs.limit(0), folder).count() == 0

@@ -30,10 +30,11 @@ SUPPORT = 0.75
 STEPS = 4
 # Squared distance above which a row is rejected: far beyond the 0.9999 quantile (25.7)
 # of five normal statistics, as real texts have heavier tails.
-CUTOFF = 80.0
+CUTOFF = 60.0
 
 # Statistics and the least deviation each is taken to have.
-STATISTICS = {"length": 0.05, "symbols": 0.25, "repeats": 0.25, "lines": 0.25, "capitals": 0.04}
+# (in most texts three of them are zero). Repeats alone, which the fixed rules judge, reject nothing.
+STATISTICS = {"length": 0.05, "symbols": 0.25, "repeats": 0.75, "lines": 0.75, "capitals": 0.04}
 # Quantiles of the chi-squared distribution with five degrees of freedom.
 MEDIAN_CHI2, INNER_CHI2 = 4.3515, 12.8325
 
@@ -135,8 +136,8 @@ def _meet(rows: DataFrame, groups: DataFrame, on: list[str], few: bool) -> DataF
     return rows.join(F.broadcast(groups) if few else groups, on, "left")
 
 
-def _grouped(rows: DataFrame, min_group: int, scratch: Scratch) -> tuple[DataFrame, bool]:
-    """Rows with the ``key`` of the group whose estimate they share; whether there are few groups."""
+def _keys(rows: DataFrame, min_group: int, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """The ``key`` of the estimate that each language and source shares; whether there are few."""
     sizes = scratch.keep(rows.groupBy("lang", "source").agg(F.count("*").alias("n")), "sizes")
     few = sizes.count() <= FEW_GROUPS
     small = sizes.where(F.col("n") < min_group)
@@ -149,7 +150,7 @@ def _grouped(rows: DataFrame, min_group: int, scratch: Scratch) -> tuple[DataFra
         .otherwise("all")
         .alias("key"),
     )
-    return _meet(rows, scratch.keep(keys, "keys"), ["lang", "source"], few), few
+    return scratch.keep(keys, "keys"), few
 
 
 _PAIRS = [(a, b) for i, a in enumerate(_NAMES) for b in _NAMES[: i + 1]]
@@ -225,24 +226,34 @@ def estimate(vectors: DataFrame, few: bool, scratch: Scratch) -> DataFrame:
 
 
 def judged(
-    rows: DataFrame, scratch: Scratch, cutoff: float = CUTOFF, min_group: int = MIN_GROUP
+    rows: DataFrame,
+    scratch: Scratch,
+    cutoff: float = CUTOFF,
+    min_group: int = MIN_GROUP,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Measured rows with their squared ``distance`` and ``kept``.
 
     Estimates use the rows that pass the fixed rules. A group that stays below
     ``min_group`` rows even when pooled gives no verdict: its rows keep that of the rules.
+    ``stored`` are the same rows in a stored table to estimate from, where ``rows`` is not one.
     """
     passed = ~F.col("base_failed")
-    grouped, few = _grouped(rows, min_group, scratch)
+    known = rows if stored is None else stored
+    keys, few = _keys(known, min_group, scratch)
+    grouped = _meet(known, keys, ["lang", "source"], few)
     vectors = scratch.keep(grouped.where(passed).select("key", *_NAMES), "vectors")
     groups = estimate(vectors, few, scratch)
     distance = F.when(
-        passed & (F.col("n") >= min_group), _distance() / F.greatest(F.col("scale"), F.lit(0.05))
+        passed & (F.col("n") >= min_group), _distance() / F.greatest(F.col("scale"), F.lit(1.0))
     )
+    inside = F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return (
-        _meet(grouped, groups, ["key"], few)
+        _meet(_meet(rows, keys, ["lang", "source"], few), groups, ["key"], few)
         .withColumn("distance", distance)
-        .withColumn("kept", passed & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))
+        # One condition that is not taken apart: a part of it, evaluated apart
+        # before the join, would measure the texts twice.
+        .withColumn("kept", F.when(passed & inside, True).otherwise(False))
     )
 
 
@@ -262,8 +273,14 @@ def quality_rules(documents: DataFrame) -> DataFrame:
 
 
 def keep_quality(documents: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all their columns as they are."""
+    """The documents that the rules keep, with all their columns as they are.
+
+    Texts are measured twice: for the estimates, which store numbers only, and as
+    they pass. That is cheaper than to store them once more.
+    """
     scratch = Scratch(documents.sparkSession, "quality")
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
-    done = judged(scratch.keep(measured(rows), "measured"), scratch)
-    return done.where("kept").select("row.*")
+    rows = measured(
+        documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    )
+    stored = scratch.keep(rows.drop("row"), "measured")
+    return judged(rows, scratch, stored=stored).where("kept").select("row.*")

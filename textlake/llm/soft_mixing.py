@@ -224,8 +224,9 @@ def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] = TAR
     """
     scratch = Scratch(documents.sparkSession, "mixing")
     model = train(documents, labels)
-    rows = scratch.keep(with_posteriors(documents, model), "posteriors")
-    steps = fit_rates(rows.select("n_tokens", "p"), targets)
+    rows = with_posteriors(documents, model)
+    # Only the numbers are stored; the posteriors are worked out again as the texts pass.
+    steps = fit_rates(scratch.keep(rows.select("n_tokens", "p"), "posteriors"), targets)
     rated = rows.withColumn("rate", _rate(steps))
     chance = F.pmod(F.xxhash64(F.col("row.doc_id"), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("bigint")
