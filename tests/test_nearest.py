@@ -5,7 +5,7 @@ import pytest
 
 from textlake.operators.nearest import nearest, relevant
 
-MANY = {"broadcast_bytes": 0, "cell_bytes": 2000}
+MANY = {"block_bytes": 2000}
 
 
 def vectors(spark, name, ids, matrix):

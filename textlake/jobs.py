@@ -31,7 +31,7 @@ from textlake.operators.vector_table import (
     update_vectors,
     vector_rows,
 )
-from textlake.session import build_session, object_store_settings, work_path
+from textlake.session import build_session, object_store_settings, remove_path, work_path
 from textlake.sources import readers, writers
 from textlake.streaming.refresh import start_refresh
 
@@ -119,9 +119,8 @@ def index(
 def ask(spark, source, store, table, target, top_k=fixed.TOP_K, use_model=True, load_encoder=None):
     """Answer rows for JSON lines of ``query_id, query`` from a refreshed store."""
     asked = spark.read.schema("query_id string, query string").json(source)
-    queries = writers.round_trip(
-        embed_text(asked, load_encoder, "query"), work_path(spark, "queries")
-    )
+    path = work_path(spark, "queries")
+    queries = writers.round_trip(embed_text(asked, load_encoder, "query"), path)
     answers = answer_queries(
         queries,
         spark.read.parquet(table).select("doc_id", "embedding"),
@@ -130,6 +129,7 @@ def ask(spark, source, store, table, target, top_k=fixed.TOP_K, use_model=True,
         use_model=use_model,
     )
     answers.write.mode("overwrite").json(target)
+    remove_path(spark, path)
 
 
 def main(arguments: list[str] | None = None) -> None:

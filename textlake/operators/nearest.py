@@ -14,11 +14,10 @@ from pyspark.sql import types as T
 
 from textlake.functions.fixed_values import RELEVANCE_THRESHOLD, TOP_K
 from textlake.operators.dedupe import top_per_group
+from textlake.session import work_path
 
-# Query vectors up to this size are sent to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Beyond it, queries and corpus are cut into pieces of about this size.
-CELL_BYTES = 64 * 1024 * 1024
+# Query vectors of about this size at most are sent to every executor at a time.
+BLOCK_BYTES = 64 * 1024 * 1024
 # Scores worked out at a time within one task.
 SCORES = 4_000_000
 
@@ -103,8 +102,7 @@ def nearest(
     k: int = TOP_K,
     metric: str = "sq_l2",
     skip_same_id: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    cell_bytes: int = CELL_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest corpus vectors of each query: ``query_id, doc_id, rank, distance``.
 
@@ -113,9 +111,10 @@ def nearest(
     with ``metric="cosine"`` one minus the cosine. Ties go to the smaller id.
 
     A first job measures the queries. Few of them are sent to all executors, and
-    every corpus partition is read once, where it is. Many are cut into pieces,
-    as is the corpus, and each pair of pieces meets in one task. Either way a
-    task gives ``k`` rows per query, never the scores of all its pairs.
+    every corpus partition is read once, where it is. Many are stored in blocks by
+    a hash of their id, and each block is sent in turn: the corpus is read once
+    per block but never moved. A task gives ``k`` rows per query, never the
+    scores of all its pairs.
     """
     if metric not in ("sq_l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
@@ -135,16 +134,11 @@ def nearest(
         F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"),
         F.max(F.size("embedding")).alias("dims"),
     ).first()
-    if size["bytes"] <= broadcast_bytes:
+    blocks = max(1, math.ceil(size["bytes"] / block_bytes))
+    if blocks == 1:
         hits = _scan(queries, held, k, metric, skip_same_id, schema)
     else:
-        # Counting all rows of a Parquet table reads no column.
-        corpus_bytes = corpus.count() * size["dims"] * 8
-        query_pieces = math.ceil(size["bytes"] / cell_bytes)
-        corpus_pieces = 1 + corpus_bytes // cell_bytes
-        hits = _meet(
-            queries, held, query_pieces, corpus_pieces, k, metric, skip_same_id, schema
-        )
+        hits = _scan_blocks(queries, held, blocks, k, metric, skip_same_id, schema)
     ranked = top_per_group(hits, ["query_id"], ["distance", "doc_id"], k)
     return ranked.select("query_id", "doc_id", "rank", "distance")
 
@@ -174,45 +168,18 @@ def _scan(queries, corpus, k, metric, skip_same_id, schema) -> DataFrame:
     return corpus.mapInArrow(score, schema)
 
 
-def _meet(queries, corpus, query_pieces, corpus_pieces, k, metric, skip_same_id, schema):
-    def piece(column: str, n: int):
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = queries.withColumn("q", piece("query_id", query_pieces)).withColumn(
-        "c", every(corpus_pieces)
-    )
-    right = corpus.withColumn("c", piece("doc_id", corpus_pieces)).withColumn(
-        "q", every(query_pieces)
-    )
-
-    def score(asked: pa.Table, held: pa.Table) -> pa.Table:
-        if not asked.num_rows or not held.num_rows:
-            return _nothing(asked, held)
-        hits = _best(
-            asked["query_id"].to_pandas().to_numpy(),
-            _matrix(asked["embedding"], asked.num_rows),
-            held["doc_id"].to_pandas().to_numpy(),
-            _matrix(held["embedding"], held.num_rows),
-            k,
-            metric,
-            skip_same_id,
-        )
-        return pa.Table.from_pandas(hits, preserve_index=False)
-
-    return left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(score, schema)
-
-
-def _nothing(asked: pa.Table, held: pa.Table) -> pa.Table:
-    return pa.table(
-        {
-            "query_id": asked["query_id"].slice(0, 0),
-            "doc_id": held["doc_id"].slice(0, 0),
-            "distance": pa.array([], pa.float64()),
-        }
-    )
+def _scan_blocks(queries, corpus, blocks, k, metric, skip_same_id, schema) -> DataFrame:
+    """The hits of every block of queries, stored block after block."""
+    spark = corpus.sparkSession
+    asked, found = work_path(spark, "queries"), work_path(spark, "hits")
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
+    queries.withColumn("block", block).write.partitionBy("block").parquet(asked)
+    stored = spark.read.parquet(asked)
+    for number in range(blocks):
+        part = stored.where(F.col("block") == number).drop("block")
+        hits = _scan(part, corpus, k, metric, skip_same_id, schema)
+        hits.write.mode("append").parquet(found)
+    return spark.read.schema(schema).parquet(found)
 
 
 def relevant(hits: DataFrame, threshold: float = RELEVANCE_THRESHOLD) -> DataFrame:

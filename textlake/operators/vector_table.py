@@ -12,7 +12,7 @@ from textlake.operators.chunking import chunk_documents
 from textlake.operators.embedding import Encoder, embed_text
 from textlake.operators.dedupe import keep_first
 from textlake.operators.merge import few, new_items, not_in
-from textlake.session import work_path
+from textlake.session import remove_path, work_path
 from textlake.sources.writers import create_if_missing, round_trip
 
 KEY = ("doc_id", "chunk_no")
@@ -64,13 +64,15 @@ def update_vectors(
     create_if_missing(vector_rows(marked.limit(0), size, overlap, load_encoder), path)
     table = spark.read.parquet(path)
     known = table.select("doc_id", "doc_hash").distinct()
-    todo = round_trip(not_in(marked, known, ["doc_id", "doc_hash"]), work_path(spark, "changed"))
+    work = work_path(spark, "update")
+    todo = round_trip(not_in(marked, known, ["doc_id", "doc_hash"]), f"{work}/changed")
     old = known.join(few(todo.select("doc_id")), "doc_id", "left_semi").select("doc_id").distinct()
-    old = round_trip(old, work_path(spark, "replaced"))
+    old = round_trip(old, f"{work}/replaced")
     rows = vector_rows(todo, size, overlap, load_encoder).select(*table.columns)
     fresh = not_in(rows, old, ["doc_id"])
     fresh.write.mode("append").partitionBy("bucket").parquet(path)
     if old.isEmpty():
+        remove_path(spark, work)
         return
     changed = rows.join(few(old), "doc_id", "left_semi")
     parts = [
@@ -78,12 +80,11 @@ def update_vectors(
         for r in todo.join(few(old), "doc_id", "left_semi").select("bucket").distinct().collect()
     ]
     kept = not_in(spark.read.parquet(path).where(F.col("bucket").isin(parts)), old, ["doc_id"])
-    staged = round_trip(
-        kept.select(*table.columns).unionByName(changed), work_path(spark, "parts")
-    )
+    staged = round_trip(kept.select(*table.columns).unionByName(changed), f"{work}/parts")
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "bucket"
     ).parquet(path)
+    remove_path(spark, work)
 
 
 def append_vectors(rows: DataFrame, path: str) -> None:

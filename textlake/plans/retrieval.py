@@ -88,6 +88,13 @@ def prompts(spark, folder):
     )
 
 
+def model_answers(spark, folder):
+    """What a batch model might give: an answer to every query."""
+    return title_queries(spark, folder).select(
+        "query_id", F.concat(F.lit("About "), "query").alias("answer")
+    )
+
+
 def _answers(spark, folder, **options):
     rows = answers.answer_queries(
         title_queries(spark, folder), corpus(spark, folder), wrapped_documents(spark, folder),
@@ -103,7 +110,7 @@ def _answers(spark, folder, **options):
 QUERIES = {
     "vector_topk": lambda s, d: rounded(hits(s, d)),
     "vector_topk_many_queries": lambda s, d: rounded(
-        hits(s, d, broadcast_bytes=0, cell_bytes=128 * 1024)
+        hits(s, d, block_bytes=128 * 1024)
     ),
     "vector_topk_cosine": lambda s, d: rounded(hits(s, d, metric="cosine")),
     "relevance_filter": lambda s, d: rounded(relevant(hits(s, d))),
@@ -116,6 +123,9 @@ QUERIES = {
     "context_cited": context_cited,
     "prompt_rows": prompts,
     "answer_rows": lambda s, d: _answers(s, d, threshold=WIDE_THRESHOLD),
+    "answer_rows_answered": lambda s, d: _answers(
+        s, d, threshold=WIDE_THRESHOLD, model_answers=model_answers(s, d)
+    ),
     "answer_rows_retrieval_only": lambda s, d: _answers(s, d, use_model=False),
 }
 
@@ -196,7 +206,7 @@ SELECT query_id, query,
        WHEN query_id IN (SELECT query_id FROM hits WHERE distance <= {threshold}) THEN 'text_missing'
        ELSE 'nothing_found' END AS status,
   CASE WHEN context IS NULL THEN {sql_text(fixed.ANSWER_NOTHING_FOUND)}
-       ELSE {sql_text(answer)} END AS answer,
+       ELSE {answer} END AS answer,
   coalesce(sources, '') AS sources, coalesce(context, '') AS context,
   CASE WHEN context IS NOT NULL THEN
     {template_sql(fixed.NEWS_PROMPT, context="context", question="query")} END AS prompt
@@ -227,9 +237,10 @@ ORACLES = {
           {template_sql(fixed.TRANSLATION_PROMPT, question="query")} AS translation_prompt
         FROM queries LEFT JOIN contexts USING (query_id)""",
     "answer_rows": answers_sql(
-        WIDE_THRESHOLD, "model_unavailable", fixed.ANSWER_MODEL_UNAVAILABLE
+        WIDE_THRESHOLD, "model_unavailable", sql_text(fixed.ANSWER_MODEL_UNAVAILABLE)
     ),
+    "answer_rows_answered": answers_sql(WIDE_THRESHOLD, "answered", "'About ' || query"),
     "answer_rows_retrieval_only": answers_sql(
-        fixed.RELEVANCE_THRESHOLD, "retrieval_only", fixed.ANSWER_RETRIEVAL_ONLY
+        fixed.RELEVANCE_THRESHOLD, "retrieval_only", sql_text(fixed.ANSWER_RETRIEVAL_ONLY)
     ),
 }
