@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 
 _ODD = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
