@@ -112,7 +112,7 @@ FROM met JOIN sizes USING (item_id) WHERE 10 * n_shared >= 8 * n_item"""
 
 
 def _licenses_sql() -> str:
-    words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\pL\\pN]+'), x -> x <> '')"
+    words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\pL\\pN]+'), lambda x: x <> '')"
     rows = ", ".join(
         "({}, '{}', '{}')".format(i, name, text.replace("'", "''"))
         for i, (name, text) in enumerate(licenses.NOTICES)
