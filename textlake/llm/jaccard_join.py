@@ -13,9 +13,12 @@ How large groups are kept from meeting in all pairs, without losing a link betwe
 * In each list of a shingle, the sets first meet only the least of them (a star).
 * After the components of these links are known, a list gives pairs only across different
   components. Lists that lie in one component give none.
+* Each set has a bit map in which every shingle turns one bit over. Two sets differ in at least as
+  many shingles as their maps differ in bits, so most pairs are refused (``_near_bits``) before they
+  become rows or their sets are moved; that loses no link.
 
 A set whose first shingles are mostly hot needs more of them than were written at first; only such
-sets are read again whole. Sets are divided by size, so that only sizes that can match meet.
+sets are read again whole, and what is hot is counted anew. Sets are divided by size, so that only sizes that can match meet.
 """
 
 from __future__ import annotations
@@ -35,8 +38,12 @@ from textlake.operators.merge import fits_broadcast
 
 # A shingle in more prefixes than this comes last in the global order.
 HOT = 32
+# Shingles written beyond those that a set without hot ones needs, and how often hot ones are counted.
+SPARE, TURNS = 8, 3
 # Further shared shingles that a set may ask for, at most.
 EXTRA = 3
+# Words of 64 bits in a set's bit map.
+BIT_WORDS = 16
 # Verifying a pair against merging one entry of a list; each further shared shingle is
 # taken to leave a quarter of the chance pairs.
 VERIFY_COST, CHANCE = 50.0, 0.25
@@ -67,31 +74,34 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def _set_rows(documents: DataFrame, size: int, percent: int, whole: bool) -> DataFrame:
-    """``doc_id, n_shingles, digest, tokens``: the whole set, or its beginning in hash order."""
+    """``doc_id, n_shingles, digest, tokens, bits``: the whole set, or its beginning in hash order."""
 
     def run(batches):
         for batch in batches:
-            counts, digests, tokens = [], [], []
+            counts, digests, tokens, bits = [], [], [], []
             for own in _sets(batch.column("text"), size):
                 n = len(own)
                 first = _first_length(n, percent)
-                written = n if whole else min(n, first + EXTRA + 16 + first // 2)
+                written = n if whole else min(n, first + EXTRA + SPARE)
                 counts.append(n)
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()))
                 tokens.append(own[:written])
+                odd = np.bincount((own % np.uint64(64 * BIT_WORDS)).astype(np.int64), minlength=64 * BIT_WORDS) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.binary()),
                     _lists(tokens),
+                    _lists(bits),
                 ],
-                names=["doc_id", "n_shingles", "digest", "tokens"],
+                names=["doc_id", "n_shingles", "digest", "tokens", "bits"],
             )
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n_shingles bigint, digest binary, tokens array<bigint>"
+        run, f"doc_id {id_type}, n_shingles bigint, digest binary, tokens array<bigint>, bits array<bigint>"
     )
 
 
@@ -108,6 +118,12 @@ def _whole_sets(documents: DataFrame, nodes: DataFrame, size: int, percent: int)
     return rows.join(nodes.select("node", "digest"), "digest").dropDuplicates(["node"])
 
 
+def _near_bits(percent: int) -> Column:
+    """Whether the bit maps of ``u`` and ``v`` leave it open that their sets are similar enough."""
+    apart = " + ".join(f"bit_count(bits_u[{i}] ^ bits_v[{i}])" for i in range(BIT_WORDS))
+    return F.expr(f"{100 - percent} * (n_u + n_v) >= {100 + percent} * ({apart})")
+
+
 def _chosen_extra(percent: int) -> Column:
     """The ``e`` of a node, from its rows of ``rank, df, n_shingles`` (a window over them)."""
     own = Window.partitionBy("node")
@@ -122,53 +138,51 @@ def _chosen_extra(percent: int) -> Column:
     return F.least(*costs)["e"]
 
 
-def _prefixes(documents: DataFrame, nodes: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
-    """``node, n_shingles, prefix``: the first shingles of every node in the global order."""
-    written = nodes.select("node", F.posexplode("tokens").alias("pos", "token"))
-    hot = written.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") > HOT).select("token")
-    hot = scratch.keep(hot, "hot")
-    places = (
-        written.join(_few(hot), "token").groupBy("node").agg(F.collect_set("pos").alias("hot_at"))
-    )  # a node's own places: no more than it has written
-    marked = nodes.join(places, "node", "left").withColumn(
-        "hot_at", F.coalesce("hot_at", F.array().cast("array<int>"))
-    )
-    length = F.least(
-        (F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1 + EXTRA), F.col("n_shingles")
-    ).cast("int")
-    cold = F.filter("tokens", lambda t, i: ~F.array_contains("hot_at", i))
-    warm = F.filter("tokens", lambda t, i: F.array_contains("hot_at", i))
-    marked = marked.select(
-        "node", "digest", "doc_id", "n_shingles", length.alias("length"), cold.alias("cold"),
-        F.when(F.size("tokens") == F.col("n_shingles"), warm).alias("warm"),
-    )
-    marked = scratch.keep(marked, "marked")
-    enough = F.col("warm").isNotNull() | (F.size("cold") >= F.col("length"))
-    ready = marked.where(enough).select(
-        "node",
-        "n_shingles",
-        F.slice(F.concat("cold", F.coalesce("warm", F.array().cast("array<bigint>"))), F.lit(1), F.col("length")).alias("prefix"),
-    )
-    # The others: all of their shingles, the hot ones among them moved to the end.
-    again = _whole_sets(documents, marked.where(~enough), size, percent)
-    each = again.select("node", "n_shingles", F.explode("tokens").alias("token"))
-    each = each.join(_few(hot.withColumn("hot", F.lit(1))), "token", "left")
-    unsigned = F.expr("shiftrightunsigned(token, 1)")  # the order of the hashes as unsigned
-    ordered = each.groupBy("node").agg(
-        F.first("n_shingles").alias("n_shingles"),
-        F.sort_array(
-            F.collect_list(F.struct(F.coalesce("hot", F.lit(0)).alias("hot"), unsigned.alias("at"), "token"))
-        ).alias("all"),
-    )
-    rest = ordered.select(
-        "node",
-        "n_shingles",
-        F.expr(
-            f"transform(slice(all, 1, int(least(n_shingles - ceil(n_shingles * {percent} / 100) + {1 + EXTRA}, "
-            "n_shingles))), x -> x.token)"
-        ).alias("prefix"),
+def _written(rows: DataFrame) -> DataFrame:
+    return rows.select("node", F.explode("tokens").alias("token"))
+
+
+def _arranged(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows with ``cold``, their other shingles in order, and ``warm``, their hot ones."""
+    own = _written(rows).join(_few(hot), "token").groupBy("node")
+    # A node's own shingles: no more than it has written.
+    own = own.agg(F.collect_set("token").alias("hot"))
+    marked = rows.join(own, "node", "left").withColumn("hot", F.coalesce("hot", F.array().cast("array<bigint>")))
+    return marked.select(
+        *rows.columns,
+        F.array_except("tokens", "hot").alias("cold"),
+        F.array_intersect("tokens", "hot").alias("warm"),
     )
-    return scratch.keep(ready.unionByName(rest), "prefixes")
+
+
+def _prefixes(documents: DataFrame, nodes: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+    """``node, n_shingles, prefix``: the first shingles of every node in the global order.
+
+    Which shingles are hot is counted on what the nodes have written. A node whose other shingles
+    do not suffice is read again whole; as that shows more of the shingles, they are
+    counted anew, ``TURNS`` times at most. All prefixes follow the last count.
+    """
+    n = F.col("n_shingles")
+    length = F.least(n - F.ceil(n * percent / 100) + 1 + EXTRA, n).cast("int")
+    rest = nodes.select("node", "digest", "doc_id", "n_shingles", "tokens", length.alias("length"))
+    whole = scratch.keep(rest.limit(0), "whole")
+    hot = None
+    for _ in range(TURNS):
+        counts = _written(rest).unionByName(_written(whole)).groupBy("token").agg(F.count("*").alias("df"))
+        hot = scratch.keep(counts.where(F.col("df") > HOT).select("token"), "hot")
+        enough = (F.size("cold") >= F.col("length")) | (F.size("tokens") == n)
+        short = _arranged(rest, hot).where(~enough).select("node", "digest", "doc_id", "length")
+        short = scratch.keep(short, "short")
+        if short.isEmpty():
+            break
+        found = _whole_sets(documents, short, size, percent).drop("digest").join(short, "node")
+        whole = scratch.keep(found.select(*rest.columns).unionByName(whole), "whole")
+        rest = rest.join(_few(short.select("node")), "node", "left_anti")
+    every = _arranged(rest.unionByName(whole), hot)
+    prefix = F.slice(F.concat("cold", "warm"), F.lit(1), F.col("length")).alias("prefix")
+    prefixes = scratch.keep(every.select("node", "n_shingles", prefix), "prefixes")
+    scratch.drop(whole)
+    return prefixes
 
 
 def _postings(prefixes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -192,7 +206,12 @@ def _postings(prefixes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 
 def _similar(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int, percent: int, scratch: Scratch):
     """The pairs ``u, v`` whose whole sets are similar enough."""
-    pairs = scratch.keep(pairs, "candidates")
+    for side in "uv":
+        maps = nodes.select(
+            F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")
+        )
+        pairs = pairs.join(maps, side)
+    pairs = scratch.keep(pairs.where(_near_bits(percent)).select("u", "v"), "candidates")
     ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     wanted = nodes.select("node", "digest", "doc_id").join(ends, "node", "left_semi")
     sets = scratch.keep(_whole_sets(documents, wanted, size, percent), "sets")
@@ -204,7 +223,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int
         100 * F.col("both") >= percent * (F.size("a") + F.size("b") - F.col("both"))
     )
     links = scratch.keep(met.select("u", "v"), "links")
-    scratch.drop(sets)
+    scratch.drop(sets, pairs)
     return links
 
 
@@ -217,7 +236,7 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
     return counted.where(F.col("shared") > F.col("e")).select("u", "v")
 
 
-def _as(rows: DataFrame, side: str, *more: str) -> DataFrame:
+def _as(rows: DataFrame, side: str, *more) -> DataFrame:
     return rows.select(
         "token",
         "band",
@@ -233,6 +252,7 @@ def _links(documents: DataFrame, nodes: DataFrame, size: int, percent: int, scra
     """Links ``u, v`` between nodes: all that are needed for the components, and no wrong one."""
     prefixes = _prefixes(documents, nodes, size, percent, scratch)
     rows = _postings(prefixes, percent, scratch)
+    scratch.drop(prefixes)
     canonical = F.col("band") == F.least("bucket_u", "bucket_v")
 
     # Every list's sets against the least of the list.
@@ -250,14 +270,14 @@ def _links(documents: DataFrame, nodes: DataFrame, size: int, percent: int, scra
     )
     lists = rows.groupBy("token", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = lists.where("lo < hi").select("token", "band")
-    rows = scratch.keep(rows.join(_few(scratch.keep(mixed, "mixed")), ["token", "band"]), "across")
-    groups = rows.select("token", "band", "component").distinct()
-    meet = groups.select("token", "band", F.col("component").alias("cu")).join(
-        groups.select("token", "band", F.col("component").alias("cv")), ["token", "band"]
-    ).where("cu < cv")
-    left = meet.join(_as(rows, "u", "component").withColumnRenamed("component", "cu"), ["token", "band", "cu"])
-    both = left.join(_as(rows, "v", "component").withColumnRenamed("component", "cv"), ["token", "band", "cv"])
-    second = _similar(_candidates(both.where(canonical), percent), nodes, documents, size, percent, scratch)
+    rows = rows.join(_few(scratch.keep(mixed, "mixed")), ["token", "band"])
+    rows = scratch.keep(rows.join(nodes.select("node", "bits"), "node"), "across")
+    one = _as(rows, "u", "component", F.col("bits").alias("bits_u")).withColumnRenamed("component", "cu")
+    two = _as(rows, "v", "component", F.col("bits").alias("bits_v")).withColumnRenamed("component", "cv")
+    both = one.join(two, ["token", "band"]).where(
+        (F.col("cu") < F.col("cv")) & canonical & _near_bits(percent)
+    )
+    second = _similar(_candidates(both, percent), nodes, documents, size, percent, scratch)
     return first.unionByName(second)
 
 
@@ -273,10 +293,11 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataF
     """
     scratch = Scratch(documents.sparkSession, "near-copies")
     documents = documents.select("doc_id", "text")
-    sets = scratch.keep(_set_rows(documents, size, percent, whole=False), "sets")
+    wide = scratch.keep(_set_rows(documents, size, percent, whole=False), "sets")
+    sets = scratch.keep(wide.select("doc_id", "n_shingles", "digest"), "digests")
     least = sets.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("_doc_id"))
     chosen = (
-        sets.join(
+        wide.join(
             least.withColumnRenamed("digest", "_digest"),
             (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")),
             "left_semi",
@@ -285,6 +306,7 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataF
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = scratch.keep(chosen, "nodes")
+    scratch.drop(wide)
     links = _links(documents, nodes, size, percent, scratch)
     parts = scratch.keep(components(links, scratch), "components")
     names = (

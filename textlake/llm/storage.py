@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -37,6 +39,10 @@ class Scratch:
         for path in paths:
             if self.root.split(":", 1)[-1] in path:
                 remove(self.spark, path)
+        # Shuffle files go once nothing refers to the plans that wrote them; both
+        # sides hold such references until they collect garbage.
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
 
 def remove(spark: SparkSession, path: str) -> None:
