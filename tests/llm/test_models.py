@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from textlake.llm import attention_lm as lm
 from textlake.llm import registry, soft_mixing, toxicity
-from textlake.llm.storage import held_out
+from textlake.llm.storage import Scratch, held_out
 from textlake.llm.words import slices
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -125,6 +125,17 @@ def test_training_lowers_the_loss():
     assert after > 0.7 * before
 
 
+@pytest.mark.parametrize("text", ["a few words", "other words here", "one more of them", "and the last text"])
+def test_every_training_text_is_learned_from(spark, text):
+    rows = spark.createDataFrame([(text,)], "text string")
+    learned, counts = lm.train(rows, PATH, Scratch(spark, "test"))
+    subwords = np.zeros(lm.vocabulary_size(PATH), np.int64)
+    read = lm.Read(next(slices(pa.array([text]))), PATH)
+    np.add.at(subwords, read.sequence()[0], 1)
+    first = lm.packed(lm.initial(lm.class_table(subwords, 1)[2]))
+    assert not np.allclose(learned.flat, first)
+
+
 def test_language_model_on_odd_rows(spark):
     rows = [(1, None), (None, ""), (3, " \u0085 \x1c"), (4, "word " * 40_000), (5, "some Words é"), (5, "some Words é")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS score", "2 AS tail")
