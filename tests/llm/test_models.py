@@ -56,6 +56,23 @@ def test_base_scores(spark, folder, monkeypatch, head):
         assert r.score < 0
 
 
+def test_scores_do_not_depend_on_the_head(spark, folder, monkeypatch):
+    monkeypatch.setattr(lm, "ROUNDS", 0)
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").limit(300)
+    rows = rows.union(spark.createDataFrame([(-1, "rare words twice rare words twice"), (-2, None)], rows.schema))
+
+    def scores(head):
+        monkeypatch.setattr(lm, "HEAD", head)
+        got = lm.score_documents(rows, held_out(F.col("doc_id"), 1), PATH).collect()
+        return {r.doc_id: r.score for r in got}
+
+    whole = scores(1 << 20)
+    for head in (500, 0):
+        some = scores(head)
+        assert some.keys() == whole.keys()
+        assert all(math.isclose(some[d], whole[d], rel_tol=1e-9) for d in whole)
+
+
 def small_model():
     counts = np.zeros(lm.vocabulary_size(PATH), np.int64)
     counts[:4000] = np.arange(4000, 0, -1)
