@@ -250,6 +250,29 @@ def test_rates_bring_the_targets(spark):
     assert np.allclose(rate, other)
 
 
+@pytest.mark.parametrize("wanted", [[0.9, 0.07, 0.03], [0.92, 0.06, 0.02], [0.8, 0.13, 0.07], [0.05, 0.05, 0.9]])
+def test_rates_meet_the_tolerance(spark, wanted):
+    draw = np.random.default_rng(5)
+    p = draw.dirichlet([0.4, 0.3, 0.2], 2000)
+    n = draw.integers(0, 3000, 2000)
+    rows = spark.createDataFrame(
+        [(int(k), [float(x) for x in q]) for k, q in zip(n, p, strict=True)], "n_tokens long, p array<double>"
+    )
+    steps = soft_mixing.fit_rates(rows, dict(zip("abc", wanted, strict=True)))
+    rate = np.ones(len(n))
+    for step in steps:
+        rate = np.maximum(0, rate - p @ step)
+    assert np.abs((rate * n) @ p / n.sum() - wanted).max() <= soft_mixing.TOLERANCE
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    rows = [(100, [0.6, 0.4, 0.0]), (100, [0.4, 0.55, 0.05]), (100, [0.3, 0.1, 0.6])]
+    rows = spark.createDataFrame(rows, "n_tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="missed"):
+        steps = soft_mixing.fit_rates(rows, {"a": 0.98, "b": 0.01, "c": 0.01})
+    assert all(np.isfinite(s).all() for s in steps)
+
+
 def test_mixing_given_documents(spark, folder):
     got = registry.op5_soft_mixing(spark, folder).toPandas()
     assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count()

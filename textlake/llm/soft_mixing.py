@@ -2,15 +2,17 @@
 
 A classifier learned from the labels table gives every document a posterior over the domains.
 A document of ``n`` tokens with posterior ``p`` counts ``n * p`` towards them, so rates ``r`` give the
-totals ``sum(r * n * p)``. Projected gradient steps fit nonnegative rates whose totals
-match the targets in the least-squares sense. The gradient of a document depends on its
-posterior and on one short vector per step (the residual, scaled by the domains' Gram matrix), so
-a step is one distributed sum, and a document's rate follows from the list of these
-vectors: no rates are stored, joined or sent anywhere between the steps.
+totals ``sum(r * n * p)``. The fit looks for nonnegative rates whose totals
+match the targets; of all such rates the ones nearest to 1. These are ``max(0, 1 - p . x)`` for one
+short vector ``x``, the dual solution. It is found by gradient steps, scaled by the domains' Gram
+matrix of the documents with a positive rate, each of two distributed sums. No rates are
+stored, joined or sent anywhere between the steps.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,8 +26,12 @@ from textlake.llm.words import Slice, slices, words
 SAMPLE_ROWS = 8_000
 # Domains in the order of their number, with their shares of the tokens wanted.
 TARGETS = {"plain": 0.92, "poor": 0.06, "toxic": 0.02}
-STEPS = 60
+STEPS = 100
 TOLERANCE = 1e-6
+# Weight of the residual that keeps the fit finite where targets cannot be met.
+_SLACK = 1e-10
+# Parts of a step that are tried, all at once.
+_PARTS = [4.0**-i for i in range(12)]
 
 _WORDS = 1 << 16
 _FIRST, _LAST, _AGAIN = _WORDS, _WORDS + 256, _WORDS + 512
@@ -179,39 +185,66 @@ def _rate(steps: list[np.ndarray]) -> Column:
     )
 
 
+def _moved(x: np.ndarray) -> Column:
+    """A document's rate before the bound, for the dual vector ``x``."""
+    return F.lit(1.0) - sum((F.col("p")[i] * float(v) for i, v in enumerate(x)), F.lit(0.0))
+
+
+def _dual(x: np.ndarray) -> Column:
+    """A document's part of the dual function, without its tokens."""
+    moved = _moved(x)
+    rate = F.greatest(F.lit(0.0), moved)
+    return -0.5 * (rate - 1) * (rate - 1) - rate * (1 - moved)
+
+
 def fit_rates(rows: DataFrame, targets: dict[str, float] = TARGETS) -> list[np.ndarray]:
     """The steps that lead to the rates (see ``_rate``) for rows of ``n_tokens, p``.
 
     The targets are shares of the tokens there are. A domain that no document belongs to
-    can't be filled; the shares of the others then make up the whole. Stops once the
-    totals are off by ``TOLERANCE`` of all tokens, or after ``STEPS``.
+    can't be filled; the shares of the others then make up the whole. The totals are
+    off by ``TOLERANCE`` of all tokens at most; where no rates reach that, a warning
+    says how far off the nearest totals are.
     """
     k = len(targets)
-    gram = rows.agg(
-        *[
-            F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[j]).alias(f"g{i}_{j}")
-            for i in range(k)
-            for j in range(k)
-        ],
+    about = rows.agg(
+        *[F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[i]).alias(f"d{i}") for i in range(k)],
         F.sum("n_tokens").alias("n"),
     ).first()
-    tokens = gram["n"] or 0
+    tokens = about["n"] or 0
     if not tokens:
         return []
-    matrix = np.array([[gram[f"g{i}_{j}"] for j in range(k)] for i in range(k)], float)
-    there = np.diag(matrix) > 1e-9 * tokens
-    wanted = np.array(list(targets.values()), float) * there
-    wanted = wanted / wanted.sum() * tokens
-    inverse = np.linalg.pinv(matrix, rcond=1e-9)
-    steps: list[np.ndarray] = []
+    there = np.array([about[f"d{i}"] for i in range(k)], float) > 1e-9 * tokens
+    shares = np.array(list(targets.values()), float) * there
+    shares = shares / shares.sum()
+    x = np.zeros(k)
     for _ in range(STEPS):
-        rate = _rate(steps)
-        sums = rows.agg(*[F.sum(rate * F.col("n_tokens") * F.col("p")[i]).alias(f"s{i}") for i in range(k)])
-        totals = np.array(list(sums.first()), float)
-        if np.abs(totals - wanted).max() <= TOLERANCE * tokens:
+        moved = _moved(x)
+        weight = F.col("n_tokens") / float(tokens)
+        sums = rows.agg(
+            *[F.sum(F.greatest(F.lit(0.0), moved) * weight * F.col("p")[i]) for i in range(k)],
+            *[
+                F.sum(F.when(moved >= 0, weight * F.col("p")[i] * F.col("p")[j]).otherwise(0.0))
+                for i in range(k)
+                for j in range(k)
+            ],
+            F.sum(_dual(x) * weight),
+        ).first()
+        off = (np.array(sums[:k], float) - shares) * there
+        if np.abs(off).max() <= TOLERANCE:
+            break
+        gram = np.array(sums[k : k + k * k], float).reshape(k, k) * np.outer(there, there)
+        slope = _SLACK * x - off
+        step = -np.linalg.solve(gram + np.diag(np.where(there, _SLACK, 1.0)), slope)
+        tried = [x + part * step for part in _PARTS]
+        values = np.array(rows.agg(*[F.sum(_dual(y) * weight) for y in tried]).first(), float)
+        values += [y @ shares + _SLACK / 2 * y @ y for y in tried]
+        best = int(np.argmin(values))
+        if values[best] >= sums[k + k * k] + x @ shares + _SLACK / 2 * x @ x:
             break
-        steps.append(inverse @ ((totals - wanted) * there))
-    return steps
+        x = tried[best]
+    if np.abs(off).max() > TOLERANCE:
+        warnings.warn(f"mixing targets {shares.tolist()} are missed by {off.tolist()} of all tokens", stacklevel=2)
+    return [x]
 
 
 def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
