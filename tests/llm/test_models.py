@@ -265,6 +265,34 @@ def test_rates_meet_the_tolerance(spark, wanted):
     assert np.abs((rate * n) @ p / n.sum() - wanted).max() <= soft_mixing.TOLERANCE
 
 
+@pytest.mark.parametrize("poor, toxic", [(0.005, 0.12), (0, 0.12), (0.005, 0.02), (0, 0), (0.2, 0.2)])
+def test_clean_documents_stay(spark, poor, toxic):
+    draw = np.random.default_rng(8)
+    kind = draw.choice(3, 4000, p=[1 - poor - toxic, poor, toxic])
+    p = np.stack([draw.dirichlet(np.where(np.arange(3) == k, 40, 0.5)) for k in kind])
+    n = draw.integers(20, 3000, 4000)
+    rows = spark.createDataFrame(
+        [(i, int(k), [float(x) for x in q]) for i, (k, q) in enumerate(zip(n, p, strict=True))],
+        "doc_id long, n_tokens long, p array<double>",
+    )
+    steps = soft_mixing.fit_rates(rows, least=soft_mixing.clean_least())
+    rated = rows.withColumn("r", soft_mixing._rate(steps, soft_mixing.clean_least()))
+    rate = np.array([r.r for r in rated.orderBy("doc_id").collect()])
+    assert (rate[p[:, 0] > 0.5] >= 1).all()
+    there = [True, poor > 0, toxic > 0]
+    totals = ((rate * n) @ p)[there]
+    wanted = np.array(list(soft_mixing.TARGETS.values()))[there]
+    assert np.allclose(totals / totals.sum(), wanted / wanted.sum(), atol=1e-5)
+
+
+def test_plain_documents_alone_all_stay(spark):
+    rows, labels = made_toxic(300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1, toxic) for i, toxic in labels], "doc_id long, quality int, toxic int")
+    plain = docs.join(marks.where("toxic = 0").select("doc_id"), "doc_id")
+    assert soft_mixing.mixed_documents(plain, marks).count() == 240
+
+
 def test_targets_out_of_reach_are_reported(spark):
     rows = [(100, [0.6, 0.4, 0.0]), (100, [0.4, 0.55, 0.05]), (100, [0.3, 0.1, 0.6])]
     rows = spark.createDataFrame(rows, "n_tokens long, p array<double>")

@@ -4,7 +4,9 @@ A classifier learned from the labels table gives every document a posterior over
 A document of ``n`` tokens with posterior ``p`` counts ``n * p`` towards them, so rates ``r`` give the
 totals ``sum(r * n * p)``. The fit looks for nonnegative rates whose totals
 match the targets; of all such rates the ones nearest to 1. These are ``max(0, 1 - p . x)`` for one
-short vector ``x``, the dual solution. It is found by gradient steps, scaled by the domains' Gram
+short vector ``x``, the dual solution. Documents that belong to the first domain are clean: their
+rates are 1 or more, so that all of them stay, and the whole grows where the targets ask for it.
+``x`` is found by gradient steps, scaled by the domains' Gram
 matrix of the documents with a positive rate, each of two distributed sums. No rates are
 stored, joined or sent anywhere between the steps.
 """
@@ -26,6 +28,8 @@ from textlake.llm.words import Slice, slices, words
 SAMPLE_ROWS = 8_000
 # Domains in the order of their number, with their shares of the tokens wanted.
 TARGETS = {"plain": 0.92, "poor": 0.06, "toxic": 0.02}
+# A document belongs to a domain if its posterior is larger.
+BELONGS = 0.5
 STEPS = 100
 TOLERANCE = 1e-6
 # Weight of the residual that keeps the fit finite where targets cannot be met.
@@ -169,8 +173,13 @@ def with_posteriors(documents: DataFrame, model) -> DataFrame:
     return done.select(row.alias("row"), "n_tokens", "p")
 
 
-def _rate(steps: list[np.ndarray]) -> Column:
-    """A document's rate after these steps: from 1, each step along its posterior, never below 0."""
+def clean_least() -> Column:
+    """The least rate of a document: 1 if it belongs to the first domain."""
+    return F.when(F.col("p")[0] > BELONGS, 1.0).otherwise(0.0)
+
+
+def _rate(steps: list[np.ndarray], least: Column | None = None) -> Column:
+    """A document's rate after these steps: from 1, each step along its posterior, never below ``least`` (or 0)."""
     if not steps:
         return F.lit(1.0)
     moves = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps])
@@ -178,7 +187,7 @@ def _rate(steps: list[np.ndarray]) -> Column:
         moves,
         F.lit(1.0),
         lambda rate, move: F.greatest(
-            F.lit(0.0),
+            F.lit(0.0) if least is None else least,
             rate
             - F.aggregate(F.zip_with("p", move, lambda a, b: a * b), F.lit(0.0), lambda x, y: x + y),
         ),
@@ -190,61 +199,88 @@ def _moved(x: np.ndarray) -> Column:
     return F.lit(1.0) - sum((F.col("p")[i] * float(v) for i, v in enumerate(x)), F.lit(0.0))
 
 
-def _dual(x: np.ndarray) -> Column:
+def _dual(x: np.ndarray, least: Column) -> Column:
     """A document's part of the dual function, without its tokens."""
     moved = _moved(x)
-    rate = F.greatest(F.lit(0.0), moved)
+    rate = F.greatest(least, moved)
     return -0.5 * (rate - 1) * (rate - 1) - rate * (1 - moved)
 
 
-def fit_rates(rows: DataFrame, targets: dict[str, float] = TARGETS) -> list[np.ndarray]:
+def fit_rates(
+    rows: DataFrame, targets: dict[str, float] = TARGETS, least: Column | None = None
+) -> list[np.ndarray]:
     """The steps that lead to the rates (see ``_rate``) for rows of ``n_tokens, p``.
 
     The targets are shares of the tokens there are. A domain that no document belongs to
-    can't be filled; the shares of the others then make up the whole. The totals are
+    (``BELONGS``) can't be filled; the shares of the others then make up the whole. With
+    ``least`` rates the whole grows where they leave no room for the shares. The totals are
     off by ``TOLERANCE`` of all tokens at most; where no rates reach that, a warning
     says how far off the nearest totals are.
     """
     k = len(targets)
+    bound = F.lit(0.0) if least is None else least
     about = rows.agg(
-        *[F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[i]).alias(f"d{i}") for i in range(k)],
-        F.sum("n_tokens").alias("n"),
+        *[F.sum(F.when(F.col("p")[i] > BELONGS, F.col("n_tokens")).otherwise(0)) for i in range(k)],
+        *[F.sum(bound * F.col("n_tokens") * F.col("p")[i]) for i in range(k)],
+        F.sum("n_tokens"),
     ).first()
-    tokens = about["n"] or 0
-    if not tokens:
+    tokens = about[2 * k] or 0
+    there = np.array([bool(n) for n in about[:k]])
+    if not tokens or not there.any():
         return []
-    there = np.array([about[f"d{i}"] for i in range(k)], float) > 1e-9 * tokens
     shares = np.array(list(targets.values()), float) * there
     shares = shares / shares.sum()
+    filled = np.array(about[k : 2 * k], float) / tokens * there
+    x, off = np.zeros(k), np.ones(k)
+    if (filled <= shares).all():
+        x, off = _solved(rows, tokens, shares, there, bound, False)
+    if np.abs(off).max() > TOLERANCE and least is not None:
+        x, off = _solved(rows, tokens, shares, there, bound, True)
+    if np.abs(off).max() > TOLERANCE:
+        warnings.warn(f"mixing targets {shares.tolist()} are missed by {off.tolist()} of all tokens", stacklevel=2)
+    return [x]
+
+
+def _solved(rows, tokens, shares, there, least: Column, grows: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The dual vector, and by which shares of all tokens the totals are off; the whole may grow."""
+    k = len(shares)
+    weight = F.col("n_tokens") / float(tokens)
+
+    def whole(x) -> float:
+        """The size of the whole against all tokens, held like the rate of one more document."""
+        return max(1.0, 1.0 + x @ shares) if grows else 1.0
+
+    def rest(x) -> float:
+        """The dual function without the documents."""
+        return whole(x) * (x @ shares) - 0.5 * (whole(x) - 1) ** 2 + _SLACK / 2 * x @ x
+
     x = np.zeros(k)
     for _ in range(STEPS):
         moved = _moved(x)
-        weight = F.col("n_tokens") / float(tokens)
         sums = rows.agg(
-            *[F.sum(F.greatest(F.lit(0.0), moved) * weight * F.col("p")[i]) for i in range(k)],
+            *[F.sum(F.greatest(least, moved) * weight * F.col("p")[i]) for i in range(k)],
             *[
-                F.sum(F.when(moved >= 0, weight * F.col("p")[i] * F.col("p")[j]).otherwise(0.0))
+                F.sum(F.when(moved >= least, weight * F.col("p")[i] * F.col("p")[j]).otherwise(0.0))
                 for i in range(k)
                 for j in range(k)
             ],
-            F.sum(_dual(x) * weight),
+            F.sum(_dual(x, least) * weight),
         ).first()
-        off = (np.array(sums[:k], float) - shares) * there
+        off = (np.array(sums[:k], float) - whole(x) * shares) * there
         if np.abs(off).max() <= TOLERANCE:
             break
         gram = np.array(sums[k : k + k * k], float).reshape(k, k) * np.outer(there, there)
-        slope = _SLACK * x - off
-        step = -np.linalg.solve(gram + np.diag(np.where(there, _SLACK, 1.0)), slope)
+        if grows and x @ shares >= 0:
+            gram += np.outer(shares, shares)
+        step = -np.linalg.solve(gram + np.diag(np.where(there, _SLACK, 1.0)), _SLACK * x - off)
         tried = [x + part * step for part in _PARTS]
-        values = np.array(rows.agg(*[F.sum(_dual(y) * weight) for y in tried]).first(), float)
-        values += [y @ shares + _SLACK / 2 * y @ y for y in tried]
+        values = rows.agg(*[F.sum(_dual(y, least) * weight) for y in tried]).first()
+        values = np.array(values, float) + [rest(y) for y in tried]
         best = int(np.argmin(values))
-        if values[best] >= sums[k + k * k] + x @ shares + _SLACK / 2 * x @ x:
+        if values[best] >= sums[k + k * k] + rest(x):
             break
         x = tried[best]
-    if np.abs(off).max() > TOLERANCE:
-        warnings.warn(f"mixing targets {shares.tolist()} are missed by {off.tolist()} of all tokens", stacklevel=2)
-    return [x]
+    return x, off
 
 
 def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
@@ -252,6 +288,7 @@ def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] = TAR
 
     ``p`` has the posteriors in the order of ``targets``; ``copies`` is the rate as a whole number,
     rounded up or down by a hash of ``doc_id``, so that the expected number is the rate.
+    A document that belongs to the first domain of the targets has a copy or more.
     A null or empty text has no tokens and moves nothing; it has a rate like any other.
     Equal rows get equal results. Without labels, posteriors are all equal.
     """
@@ -259,8 +296,8 @@ def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] = TAR
     model = train(documents, labels)
     rows = with_posteriors(documents, model)
     # Only the numbers are stored; the posteriors are worked out again as the texts pass.
-    steps = fit_rates(scratch.keep(rows.select("n_tokens", "p"), "posteriors"), targets)
-    rated = rows.withColumn("rate", _rate(steps))
+    steps = fit_rates(scratch.keep(rows.select("n_tokens", "p"), "posteriors"), targets, clean_least())
+    rated = rows.withColumn("rate", _rate(steps, clean_least()))
     chance = F.pmod(F.xxhash64(F.col("row.doc_id"), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("bigint")
     return rated.withColumn("copies", copies.cast("bigint"))
