@@ -60,6 +60,26 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert all(got[i].kept for i in got if i < 1000 or i >= 3000)
 
 
+def test_duplicate_lines_alone_reject(spark):
+    draw = random.Random(6)
+
+    def prose(n):
+        return " ".join("".join(draw.choices("abcdefgh", k=draw.randint(1, 9))) for _ in range(n))
+
+    def spread(menu, own):
+        return "\n".join(x for _ in range(menu) for x in ("home news", prose(own)))
+
+    rows = [(i, "\n".join(prose(30) for _ in range(draw.randint(1, 12))), "en", "s") for i in range(400)]
+    for i in range(0, 400, 10):  # a line twice is common
+        rows[i] = (i, rows[i][1] + "\n" + "\n".join(rows[i][1].split("\n")[:1]), "en", "s")
+    rows += [(1000 + i, spread(30, 12), "en", "s") for i in range(15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in robust_outliers.quality_rules(docs).collect()}
+    assert not any(got[1000 + i].base_failed for i in range(15))
+    assert not any(got[1000 + i].kept for i in range(15))
+    assert all(r.kept or r.base_failed for i, r in got.items() if i < 1000)
+
+
 def test_estimate_as_in_numpy(spark):
     """The scatter of clean normal data comes out, whatever a fifth of outliers does."""
     draw = np.random.default_rng(1)

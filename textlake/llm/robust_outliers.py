@@ -32,9 +32,12 @@ STEPS = 4
 # of five normal statistics, as real texts have heavier tails.
 CUTOFF = 60.0
 
-# Statistics and the least deviation each is taken to have.
-# (in most texts three of them are zero). Repeats alone, which the fixed rules judge, reject nothing.
-STATISTICS = {"length": 0.05, "symbols": 0.25, "repeats": 0.75, "lines": 0.75, "capitals": 0.04}
+# Statistics and the least deviation each is taken to have (in most texts three of them are zero).
+# Shares of repeated words and of duplicate lines count as they are: a logarithm would put a single
+# repeat halfway to the largest share, and only a deviation too wide to reject any would then do.
+# Duplicate lines alone reject from a share of about 0.31, which no fixed rule tests;
+# repeats alone, which the fixed rules judge, reject nothing.
+STATISTICS = {"length": 0.05, "symbols": 0.25, "repeats": 0.06, "lines": 0.04, "capitals": 0.04}
 # Quantiles of the chi-squared distribution with five degrees of freedom.
 MEDIAN_CHI2, INNER_CHI2 = 4.3515, 12.8325
 
@@ -125,8 +128,9 @@ def measured(rows: DataFrame) -> DataFrame:
         # The mean of a short text is drawn towards a usual one, so that it varies no more.
         F.log((F.col("word_chars") + 250) / (F.col("n_words") + 50)).alias("length"),
         percent("n_symbols", chars).alias("symbols"),
-        percent("n_repeat_words", F.greatest(F.col("n_words"), F.lit(1))).alias("repeats"),
-        percent("n_dup_lines", F.greatest(F.col("n_lines"), F.lit(1))).alias("lines"),
+        (F.col("n_repeat_words") / F.greatest(F.col("n_words"), F.lit(1))).alias("repeats"),
+        # Few lines are drawn towards none: two equal ones are no menu.
+        (F.col("n_dup_lines") / (F.col("n_lines") + 4)).alias("lines"),
         F.sqrt((F.col("n_capitals") + 2) / (F.col("word_chars") + 100)).alias("capitals"),
     )
 
