@@ -106,6 +106,15 @@ def test_odd_rows(spark):
     )
 
 
+def test_different_texts_that_share_a_number(spark):
+    copied = " ".join(f"c{i}" for i in range(60))
+    own = " ".join(f"o{i}" for i in range(60))
+    rows = [(1, copied), (5, copied + " end"), (5, own), (6, own + " more"), (6, own + " again"), (6, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text) for r in jaccard_join.keep_one(docs, 3, 80).collect())
+    assert got == sorted([(1, copied), (5, own), (6, "alone here")])
+
+
 def test_components_of_chains_and_stars(spark):
     draw = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 700)]

@@ -291,6 +291,23 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataF
     results. A row without ``doc_id`` has the component of its text, which is null if no text in it has
     a number. Other columns are not looked at.
     """
+    sets, found = _found(documents, size, percent)
+    return _named(sets, found)
+
+
+def _named(sets: DataFrame, found: DataFrame) -> DataFrame:
+    return sets.join(found.select("digest", "component_id"), "digest", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def _found(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``doc_id, n_shingles, digest``, and for each digest its ``component_id`` and the component's ``first``.
+
+    ``first`` is the smallest ``doc_id, digest`` of the component.
+    """
     scratch = Scratch(documents.sparkSession, "near-copies")
     documents = documents.select("doc_id", "text")
     wide = scratch.keep(_set_rows(documents, size, percent, whole=False), "sets")
@@ -314,32 +331,43 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataF
         .join(parts, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    least = names.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    found = names.join(least, "component").select("digest", "component_id")
-    return sets.join(found, "digest", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "digest"))).alias("first")
+    least = names.groupBy("component").agg(F.min("doc_id").alias("component_id"), first)
+    return sets, names.join(least, "component").select("digest", "component_id", "first")
 
 
 def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents with one row of each group of near copies, all columns as they are.
 
     The row with the smallest ``doc_id`` stays; of rows equal in ``doc_id`` and text, one. Rows without
-    ``doc_id`` count as the last of their group; texts without words all stay.
+    ``doc_id`` count as the last of their group; texts without words are near copies of nothing.
+    Where different texts share a ``doc_id``, each is judged by its own text.
     """
     scratch = Scratch(documents.sparkSession, "one-of-each")
     last = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62))
     number = F.coalesce(F.col("doc_id").cast("bigint"), last)
-    found = scratch.keep(near_copies(documents.select(number.alias("doc_id"), "text"), size, percent), "found")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_number")).distinct()
-    kept = documents.join(_few(gone), number == F.col("_number"), "left_anti")
+    sets, parts = _found(documents.select(number.alias("doc_id"), "text"), size, percent)
+    parts = scratch.keep(parts, "parts")
+    found = scratch.keep(_named(sets, parts), "found")
     often = found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_number"))
     often = scratch.keep(often, "repeated")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_number")).distinct()
     if often.isEmpty():
-        return kept
+        return documents.join(_few(gone), number == F.col("_number"), "left_anti")
     often = _few(often)
-    once = kept.join(often, number == F.col("_number"), "left_anti")
-    same = kept.join(often, number == F.col("_number"), "left_semi")
-    return once.unionByName(same.dropDuplicates(["doc_id", "text"]))
+    once = documents.join(often, number == F.col("_number"), "left_anti")
+    once = once.join(_few(gone), number == F.col("_number"), "left_anti")
+    # Rows that share a number go by number and text.
+    same = documents.join(often, number == F.col("_number"), "left_semi").dropDuplicates(["doc_id", "text"])
+    sha = F.sha2("text", 256)
+    texts = same.where("text IS NOT NULL").select(sha.alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    digests = _set_rows(texts, size, percent, whole=False).where("n_shingles > 0")
+    digests = digests.select(F.col("doc_id").alias("_sha"), "digest").join(parts, "digest")
+    judged = same.select(number.alias("_number"), sha.alias("_sha")).join(digests, "_sha")
+    # Of texts equal but for case and spaces, the one with the least hash stands for all.
+    order = F.min("_sha").over(Window.partitionBy("_number", "digest"))
+    stays = (F.col("first.doc_id") == F.col("_number")) & (F.col("first.digest") == F.col("digest"))
+    lost = judged.withColumn("_least", order).where(~(stays & (F.col("_sha") == F.col("_least"))))
+    lost = scratch.keep(lost.select("_number", "_sha").distinct(), "lost")
+    same = same.join(_few(lost), (number == F.col("_number")) & (sha == F.col("_sha")), "left_anti")
+    return once.unionByName(same)
