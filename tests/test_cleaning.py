@@ -166,3 +166,14 @@ def test_keep_first_is_the_same_in_any_layout(spark):
     assert len(wanted) == 7
     for n in (1, 13):
         assert {tuple(r) for r in keep_first(df.repartition(n), ["k"]).collect()} == wanted
+
+
+def test_mean_on_a_half_cent(spark):
+    """100.005 as a mean of doubles falls to either side; as decimals it is 100.01."""
+    rows = [(i, "toy", "ASIA", 100.0 + (i % 2) / 100, 1, 1.0) for i in range(2000)]
+    sales = spark.createDataFrame(
+        rows, "order_id bigint, category string, region string, amount double, quantity int, revenue double"
+    )
+    for parts in (1, 7):
+        found = cleaning.sales_report(sales.repartition(parts)).first()
+        assert (found["avg_amount"], found["total_revenue"]) == (100.01, 2000.0)

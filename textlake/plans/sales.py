@@ -114,7 +114,9 @@ ORACLES = {
     "sales_by_category_region": SALES_SQL
     + """SELECT category, region, count(*) AS order_count,
            CAST(sum(CAST(revenue AS DECIMAL(18, 2))) AS DOUBLE) AS total_revenue,
-           round(avg(amount), 2) AS avg_amount, CAST(sum(quantity) AS BIGINT) AS total_quantity
+           CAST((CAST(200 * sum(CAST(amount AS DECIMAL(18, 2))) AS HUGEINT) + count(*))
+             // (2 * count(*)) AS DOUBLE) / 100 AS avg_amount,
+           CAST(sum(quantity) AS BIGINT) AS total_quantity
          FROM cleaned GROUP BY category, region""",
     "sales_clean": SALES_SQL + "SELECT * FROM cleaned",
     "clean_metrics": SALES_SQL
