@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from textlake.llm import (
     attention_lm,
+    centroid_clusters,
     decontaminate,
     jaccard_join,
     licenses,
     pii,
     robust_outliers,
     soft_mixing,
+    sql,
     suffix_levels,
     token_cache,
     toxicity,
@@ -72,6 +74,10 @@ def op10_token_counts(spark, folder):
     )
 
 
+def op12_centroid_clusters(spark, folder):
+    return centroid_clusters.cluster_report(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +91,7 @@ QUERIES = {
         op8_decontaminate,
         op9_licenses,
         op10_token_counts,
+        op12_centroid_clusters,
     )
 }
 
@@ -128,7 +135,11 @@ SELECT doc_id, CAST(template_id AS BIGINT) AS template_id, license, n_template,
 FROM met JOIN sizes USING (template_id) WHERE 10 * n_shared >= 8 * n_template"""
 
 
-ORACLES = {"op8_decontaminate": ITEMS_SQL, "op9_licenses": _licenses_sql()}
+ORACLES = {
+    "op8_decontaminate": ITEMS_SQL,
+    "op9_licenses": _licenses_sql(),
+    "op12_centroid_clusters": sql.clusters_sql(),
+}
 
 
 def queries():
