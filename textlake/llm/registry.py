@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textlake.llm import (
     attention_lm,
     centroid_clusters,
+    conversation_repair,
     decontaminate,
     jaccard_join,
     licenses,
@@ -78,6 +79,10 @@ def op12_centroid_clusters(spark, folder):
     return centroid_clusters.cluster_report(table(spark, folder, "embeddings"))
 
 
+def op13_conversation_repair(spark, folder):
+    return conversation_repair.repair_query(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,6 +97,7 @@ QUERIES = {
         op9_licenses,
         op10_token_counts,
         op12_centroid_clusters,
+        op13_conversation_repair,
     )
 }
 
@@ -139,6 +145,7 @@ ORACLES = {
     "op8_decontaminate": ITEMS_SQL,
     "op9_licenses": _licenses_sql(),
     "op12_centroid_clusters": sql.clusters_sql(),
+    "op13_conversation_repair": sql.repair_sql(),
 }
 
 
