@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textlake.llm import (
     attention_lm,
     centroid_clusters,
+    circulant_minhash,
     conversation_repair,
     decontaminate,
     jaccard_join,
@@ -75,6 +76,10 @@ def op10_token_counts(spark, folder):
     )
 
 
+def op11_circulant_minhash(spark, folder):
+    return circulant_minhash.near_copies(table(spark, folder, "documents"), size=3, percent=85)
+
+
 def op12_centroid_clusters(spark, folder):
     return centroid_clusters.cluster_report(table(spark, folder, "embeddings"))
 
@@ -96,6 +101,7 @@ QUERIES = {
         op8_decontaminate,
         op9_licenses,
         op10_token_counts,
+        op11_circulant_minhash,
         op12_centroid_clusters,
         op13_conversation_repair,
     )
@@ -142,8 +148,10 @@ FROM met JOIN sizes USING (template_id) WHERE 10 * n_shared >= 8 * n_template"""
 
 
 ORACLES = {
+    "op3_jaccard_join": sql.near_copies_sql(3, 90),
     "op8_decontaminate": ITEMS_SQL,
     "op9_licenses": _licenses_sql(),
+    "op11_circulant_minhash": sql.near_copies_sql(3, 85, ", doc_id <= coalesce(m, doc_id) AS kept"),
     "op12_centroid_clusters": sql.clusters_sql(),
     "op13_conversation_repair": sql.repair_sql(),
 }

@@ -116,3 +116,24 @@ SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce
   CAST(coalesce(found.cost, 0) AS BIGINT) AS cost, coalesce(found.audit, '') AS audit,
   sha256(coalesce(array_to_string(found.lines, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN counts USING (conv_id) LEFT JOIN ended USING (conv_id)"""
+
+
+def near_copies_sql(size: int, percent: int, more: str = "") -> str:
+    """All pairs of documents that share a shingle, those that are similar enough, and what they reach."""
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({low}, '[^{BLANK_SET}]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(array_to_string(list_slice(w, i, i + {size - 1}), ' ')) AS s
+  FROM texts, LATERAL (SELECT unnest(range(1, greatest(len(w) - {size - 2}, CAST(len(w) > 0 AS INTEGER) + 1))) AS i)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM sets x JOIN sets y USING (s)
+    WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared >= {percent} * (p.n + q.n - shared)),
+reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id{more}
+FROM documents LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)"""
