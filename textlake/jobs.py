@@ -5,8 +5,8 @@
     python -m textlake.jobs news    'IN/*.json' OUT
     python -m textlake.jobs land    OUT NAME=FEED.xml ...
     python -m textlake.jobs refresh LANDING STORE CHECKPOINT [--vectors TABLE] [--arrays]
-    python -m textlake.jobs index   DIRECTORY TABLE [--append] [--chunk-size N --chunk-overlap N]
-    python -m textlake.jobs ask     QUERIES.json STORE TABLE OUT [--top-k N] [--no-model]
+    python -m textlake.jobs index   DIRECTORY TABLE [--append | --versions] [--chunk-size N --chunk-overlap N]
+    python -m textlake.jobs ask     QUERIES.json STORE TABLE OUT [--top-k N] [--no-model] [--versions]
 
 ``--encoder package.module:function`` names a function that loads a model and
 returns an encoder; without it, texts are embedded by their hashed words.
@@ -31,8 +31,10 @@ from textlake.operators.vector_table import (
     update_vectors,
     vector_rows,
 )
+from textlake.operators.vector_versions import update_vector_versions
 from textlake.session import build_session, object_store_settings, remove_path, work_path
 from textlake.sources import readers, writers
+from textlake.sources.versions import VersionedTable
 from textlake.streaming.refresh import start_refresh
 
 
@@ -98,13 +100,20 @@ def index(
     load_encoder=None,
     size=fixed.DIRECTORY_CHUNKS[0],
     overlap=fixed.DIRECTORY_CHUNKS[1],
+    versions=False,
 ) -> None:
     """All Markdown files below a directory as a vector table.
 
     With ``append`` the table is brought in line with the files: new ones are
-    added, changed ones replaced, and only these are embedded.
+    added, changed ones replaced, and only these are embedded. With ``versions``
+    that is done in one commit, to a table that readers see whole at any time.
     """
     documents = readers.read_documents(spark, directory)
+    if versions:
+        target = VersionedTable(spark, table)
+        update_vector_versions(documents, target, size, overlap, load_encoder)
+        print(f"index: version {target.version().number}, {target.read().count()} chunks")
+        return
     if append:
         update_vectors(documents, table, size, overlap, load_encoder)
     else:
@@ -116,14 +125,25 @@ def index(
     print(f"index: {writers.rows_stored(spark, table)} chunks")
 
 
-def ask(spark, source, store, table, target, top_k=fixed.TOP_K, use_model=True, load_encoder=None):
+def ask(
+    spark,
+    source,
+    store,
+    table,
+    target,
+    top_k=fixed.TOP_K,
+    use_model=True,
+    load_encoder=None,
+    versions=False,
+) -> None:
     """Answer rows for JSON lines of ``query_id, query`` from a refreshed store."""
     asked = spark.read.schema("query_id string, query string").json(source)
     path = work_path(spark, "queries")
     queries = writers.round_trip(embed_text(asked, load_encoder, "query"), path)
+    vectors = VersionedTable(spark, table).read() if versions else spark.read.parquet(table)
     answers = answer_queries(
         queries,
-        spark.read.parquet(table).select("doc_id", "embedding"),
+        vectors.select("doc_id", "embedding"),
         wrap_documents(spark.read.parquet(store)),
         top_k,
         use_model=use_model,
@@ -138,6 +158,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("paths", nargs="+")
     parser.add_argument("--vectors")
     parser.add_argument("--append", action="store_true")
+    parser.add_argument("--versions", action="store_true", help="the vector table has committed versions")
     parser.add_argument("--chunk-size", type=int, default=fixed.DIRECTORY_CHUNKS[0])
     parser.add_argument("--chunk-overlap", type=int, default=fixed.DIRECTORY_CHUNKS[1])
     parser.add_argument("--arrays", action="store_true", help="landed files are JSON arrays")
@@ -160,11 +181,13 @@ def main(arguments: list[str] | None = None) -> None:
             "load_encoder": encoder,
             "size": given.chunk_size,
             "overlap": given.chunk_overlap,
+            "versions": given.versions,
         },
         "ask": {
             "top_k": given.top_k,
             "use_model": not given.no_model,
             "load_encoder": encoder,
+            "versions": given.versions,
         },
     }.get(given.job, {})
     spark = build_session(f"textlake {given.job}", settings=object_store_settings())
