@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from textlake.functions import fixed_values as fixed
 from textlake.operators import answers
 from textlake.operators.nearest import nearest, relevant
+from textlake.operators import vector_index
 from textlake.operators.rerank import rerank, retrieve_and_rerank
 from textlake.plans.views import WRAPPED_SQL, table, wrapped_documents
+from textlake.session import work_path
 
 # Few of the given vectors lie within the default threshold; more do in this one.
 WIDE_THRESHOLD = 1.4
+# Neighbours that the share found is measured on.
+RECALL_K = 10
 
 
 def corpus(spark, folder):
@@ -48,6 +52,43 @@ def hits(spark, folder, k=fixed.TOP_K, **search):
     )
 
 
+def built_index(spark, folder, **settings):
+    """All vectors in a new index."""
+    index = vector_index.VectorIndex(spark, work_path(spark, "index"))
+    vector_index.build_index(corpus(spark, folder), index, **settings)
+    return index
+
+
+def pruned_hits(spark, folder, metric="sq_l2", **search):
+    """The exact search that reads only cells which can hold a neighbour."""
+    return vector_index.search_exact(
+        vector_queries(spark, folder), built_index(spark, folder, metric=metric), skip_same_id=True, **search
+    )
+
+
+def extended_hits(spark, folder):
+    """The exact search over an index of the even ids, extended by the others."""
+    index = vector_index.VectorIndex(spark, work_path(spark, "index"))
+    vectors = corpus(spark, folder)
+    vector_index.build_index(vectors.where("doc_id % 2 = 0"), index)
+    vector_index.extend_index(vectors.where("doc_id % 2 = 1"), index)
+    return vector_index.search_exact(vector_queries(spark, folder), index, skip_same_id=True)
+
+
+def search_recall(spark, folder):
+    """What a search with measured probes finds of the nearest to each vector whose id 50 divides."""
+    asked = vector_queries(spark, folder).where("query_id % 50 = 0")
+    index = built_index(spark, folder)
+    vector_index.tune_index(index, RECALL_K, 0.98)
+    found = vector_index.search(asked, index, RECALL_K, skip_same_id=True)
+    wanted = nearest(asked, corpus(spark, folder), RECALL_K, skip_same_id=True)
+    return vector_index.recall(found, wanted)
+
+
+def search_recall_reached(spark, folder):
+    return search_recall(spark, folder).select("queries", "wanted", (F.col("recall") >= 0.9).alias("reached"))
+
+
 def rounded(ranked):
     return ranked.withColumn("distance", F.round("distance", 4))
 
@@ -113,6 +154,11 @@ QUERIES = {
         hits(s, d, block_bytes=128 * 1024)
     ),
     "vector_topk_cosine": lambda s, d: rounded(hits(s, d, metric="cosine")),
+    "vector_topk_pruned": lambda s, d: rounded(pruned_hits(s, d)),
+    "vector_topk_pruned_many_queries": lambda s, d: rounded(pruned_hits(s, d, block_bytes=128 * 1024)),
+    "vector_topk_pruned_cosine": lambda s, d: rounded(pruned_hits(s, d, metric="cosine")),
+    "vector_topk_extended": lambda s, d: rounded(extended_hits(s, d)),
+    "vector_search_recall": search_recall_reached,
     "relevance_filter": lambda s, d: rounded(relevant(hits(s, d))),
     "relevance_filter_wide": lambda s, d: rounded(wide_hits(s, d)),
     "rerank_topk": rerank_topk,
@@ -221,6 +267,13 @@ ORACLES = {
     "vector_topk": f"WITH {hits_sql(fixed.TOP_K)} {_ranked('hits')}",
     "vector_topk_many_queries": f"WITH {hits_sql(fixed.TOP_K)} {_ranked('hits')}",
     "vector_topk_cosine": f"WITH {hits_sql(fixed.TOP_K, 'cosine')} {_ranked('hits')}",
+    "vector_topk_pruned": f"WITH {hits_sql(fixed.TOP_K)} {_ranked('hits')}",
+    "vector_topk_pruned_many_queries": f"WITH {hits_sql(fixed.TOP_K)} {_ranked('hits')}",
+    "vector_topk_pruned_cosine": f"WITH {hits_sql(fixed.TOP_K, 'cosine')} {_ranked('hits')}",
+    "vector_topk_extended": f"WITH {hits_sql(fixed.TOP_K)} {_ranked('hits')}",
+    "vector_search_recall": f"""
+        SELECT count(*) AS queries, {RECALL_K} * count(*) AS wanted, true AS reached
+        FROM embeddings WHERE vec_id % 50 = 0""",
     "relevance_filter": f"WITH {hits_sql(fixed.TOP_K)} {_ranked('hits')} "
     f"WHERE distance <= {fixed.RELEVANCE_THRESHOLD}",
     "relevance_filter_wide": f"WITH {hits_sql(fixed.TOP_K)} {_ranked('hits')} "
