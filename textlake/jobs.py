@@ -4,9 +4,9 @@
     python -m textlake.jobs sales   IN.csv OUT
     python -m textlake.jobs news    'IN/*.json' OUT
     python -m textlake.jobs land    OUT NAME=FEED.xml ...
-    python -m textlake.jobs refresh LANDING STORE CHECKPOINT [--vectors TABLE] [--arrays]
+    python -m textlake.jobs refresh LANDING STORE CHECKPOINT [--vectors TABLE | --versions] [--arrays]
     python -m textlake.jobs index   DIRECTORY TABLE [--append | --versions] [--chunk-size N --chunk-overlap N]
-    python -m textlake.jobs ask     QUERIES.json STORE TABLE OUT [--top-k N] [--no-model] [--versions]
+    python -m textlake.jobs ask     QUERIES.json STORE TABLE OUT [--top-k N] [--no-model]
 
 ``--encoder package.module:function`` names a function that loads a model and
 returns an encoder; without it, texts are embedded by their hashed words.
@@ -34,8 +34,9 @@ from textlake.operators.vector_table import (
 from textlake.operators.vector_versions import update_vector_versions
 from textlake.session import build_session, object_store_settings, remove_path, work_path
 from textlake.sources import readers, writers
-from textlake.sources.versions import VersionedTable
+from textlake.sources.versions import VersionedTable, read_table
 from textlake.streaming.refresh import start_refresh
+from textlake.streaming.seen_links import start_seen_refresh, stored_counts
 
 
 def people(spark: SparkSession, source: str, target: str) -> None:
@@ -81,9 +82,27 @@ def land(spark: SparkSession, target: str, *feeds: str) -> None:
 
 
 def refresh(
-    spark, landing, store, checkpoint, vectors=None, load_encoder=None, arrays=False
+    spark,
+    landing,
+    store,
+    checkpoint,
+    vectors=None,
+    load_encoder=None,
+    arrays=False,
+    versions=False,
 ) -> None:
-    """Take in what landed; prints how many items are new and how many there are."""
+    """Take in what landed; prints how many items are new and how many there are.
+
+    With ``versions`` the store is a table of committed versions, and the stream itself
+    knows the links it has seen.
+    """
+    if versions:
+        table = VersionedTable(spark, store)
+        total = lambda: 0 if table.version() is None else stored_counts(table).first()["count"]
+        before = total()
+        start_seen_refresh(spark, landing, table, checkpoint, arrays=arrays).awaitTermination()
+        print(f"NEW_NEWS={total() - before} total={total()}")
+        return
     before = writers.rows_stored(spark, store)
     start_refresh(
         spark, landing, store, checkpoint, vectors, load_encoder, arrays=arrays
@@ -134,17 +153,15 @@ def ask(
     top_k=fixed.TOP_K,
     use_model=True,
     load_encoder=None,
-    versions=False,
 ) -> None:
     """Answer rows for JSON lines of ``query_id, query`` from a refreshed store."""
     asked = spark.read.schema("query_id string, query string").json(source)
     path = work_path(spark, "queries")
     queries = writers.round_trip(embed_text(asked, load_encoder, "query"), path)
-    vectors = VersionedTable(spark, table).read() if versions else spark.read.parquet(table)
     answers = answer_queries(
         queries,
-        vectors.select("doc_id", "embedding"),
-        wrap_documents(spark.read.parquet(store)),
+        read_table(spark, table).select("doc_id", "embedding"),
+        wrap_documents(read_table(spark, store)),
         top_k,
         use_model=use_model,
     )
@@ -158,7 +175,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("paths", nargs="+")
     parser.add_argument("--vectors")
     parser.add_argument("--append", action="store_true")
-    parser.add_argument("--versions", action="store_true", help="the vector table has committed versions")
+    parser.add_argument("--versions", action="store_true", help="the table has committed versions")
     parser.add_argument("--chunk-size", type=int, default=fixed.DIRECTORY_CHUNKS[0])
     parser.add_argument("--chunk-overlap", type=int, default=fixed.DIRECTORY_CHUNKS[1])
     parser.add_argument("--arrays", action="store_true", help="landed files are JSON arrays")
@@ -175,6 +192,7 @@ def main(arguments: list[str] | None = None) -> None:
             "vectors": given.vectors,
             "load_encoder": encoder,
             "arrays": given.arrays,
+            "versions": given.versions,
         },
         "index": {
             "append": given.append,
@@ -187,7 +205,6 @@ def main(arguments: list[str] | None = None) -> None:
             "top_k": given.top_k,
             "use_model": not given.no_model,
             "load_encoder": encoder,
-            "versions": given.versions,
         },
     }.get(given.job, {})
     spark = build_session(f"textlake {given.job}", settings=object_store_settings())

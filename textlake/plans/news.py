@@ -22,7 +22,9 @@ from textlake.plans.views import (
 )
 from textlake.session import work_path
 from textlake.sources import writers
+from textlake.sources.versions import VersionedTable
 from textlake.streaming.refresh import start_refresh
+from textlake.streaming.seen_links import start_seen_refresh, stored_counts
 
 WORDS = {"positive": COMMON_POSITIVE, "negative": COMMON_NEGATIVE}
 
@@ -60,6 +62,22 @@ def stream_refresh(spark, folder):
     return spark.read.parquet(target)
 
 
+def seen_store(spark, folder):
+    """Three landings, of which the second repeats the first and the last is late: links are known by the stream's state."""
+    root = work_path(spark, "seen")
+    store_ = VersionedTable(spark, f"{root}/store")
+
+    def run(items, day):
+        writers.land_json(items, f"{root}/landing", day)
+        start_seen_refresh(spark, f"{root}/landing", store_, f"{root}/checkpoint", **WORDS).awaitTermination()
+
+    known = labelled_part(spark, folder)
+    run(known, "2026-09-11")
+    run(news(spark, folder), "2026-09-12")
+    run(known, "2026-09-10")
+    return store_
+
+
 QUERIES = {
     "dedupe_keep_first": lambda s, d: keep_first(
         table(s, d, "documents").select("doc_id", "text", "source"), ["text"], ["doc_id"]
@@ -84,6 +102,9 @@ QUERIES = {
     "incremental_merge": incremental_merge,
     "refresh_summary": lambda s, d: merge.refresh_summary(store(s, d), news(s, d)),
     "stream_refresh": stream_refresh,
+    "stream_refresh_seen": lambda s, d: seen_store(s, d).read(),
+    "stored_sentiment_counts": lambda s, d: stored_counts(seen_store(s, d), "sentiment"),
+    "stored_items_per_source": lambda s, d: stored_counts(seen_store(s, d), "source"),
 }
 
 COMBINED = "lower(concat_ws(' ', title, summary))"
@@ -134,4 +155,7 @@ ORACLES = {
     + """SELECT (SELECT count(*) FROM added) AS new_news,
                 (SELECT count(*) FROM merged) AS total""",
     "stream_refresh": MERGED_SQL,
+    "stream_refresh_seen": MERGED_SQL,
+    "stored_sentiment_counts": f"""SELECT sentiment, count(*) AS "count" FROM ({MERGED_SQL}) GROUP BY ALL""",
+    "stored_items_per_source": f"""SELECT source, count(*) AS "count" FROM ({MERGED_SQL}) GROUP BY ALL""",
 }
