@@ -6,6 +6,7 @@ import json
 
 import pytest
 import numpy as np
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from textlake import session
@@ -214,3 +215,42 @@ def test_a_batch_that_failed_half_way_is_completed(spark, tmp_path, monkeypatch)
     start_refresh(spark, landing, store, checkpoint, vectors).awaitTermination()
     assert spark.read.parquet(vectors).count() == 2
     assert spark.read.parquet(store).count() == 2
+
+
+def outcomes(df):
+    rows = [(r["source"], r["file"].rsplit("/", 1)[-1], r["items"], r["broken"], r["state"]) for r in df.collect()]
+    return sorted(rows)
+
+
+def test_feed_outcomes(spark, tmp_path):
+    item = "<item><title>{}</title><link>l</link></item>"
+    folder = tmp_path / "feed a+b"
+    folder.mkdir()
+    (folder / "good one.xml").write_text(f"<rss><channel>{item.format('a')}{item.format('b')}</channel></rss>")
+    (folder / "50%.xml").write_text(f"<rss><channel>{item.format('c')}</channel></rss>")
+    (folder / "text.xml").write_text("no feed at all")
+    (folder / "none.xml").write_text("")
+    feeds = {"f": str(folder), "gone": str(tmp_path / "gone")}
+    assert outcomes(readers.feed_outcomes(spark, feeds)) == [
+        ("f", "50%.xml", 1, 0, "read"),
+        ("f", "good one.xml", 2, 0, "read"),
+        ("f", "none.xml", 0, 0, "empty"),
+        ("f", "text.xml", 0, 1, "broken"),
+        ("gone", "gone", 0, 0, "missing"),
+    ]
+    assert readers.feed_outcomes(spark, {}).count() == 0
+    seen = Observation("broken items")
+    assert readers.read_feeds(spark, feeds, seen).count() == 3
+    assert seen.get["items"] == 1
+    with pytest.raises(RuntimeError):
+        readers.read_feeds(spark, {"text": str(folder / "text.xml"), "gone": feeds["gone"]})
+
+
+def test_json_array_outcomes(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"link": "1"}, {"link": "2"}]')
+    (tmp_path / "b.json").write_text('[{"link": "3"}, {"link"')
+    (tmp_path / "c.json").write_text("[]")
+    assert outcomes(readers.json_array_outcomes(spark, f"{tmp_path}/*.json"))[0][1:] == ("a.json", 2, 0, "read")
+    states = {f: (n, b, s) for _, f, n, b, s in outcomes(readers.json_array_outcomes(spark, f"{tmp_path}/*.json"))}
+    assert states == {"a.json": (2, 0, "read"), "b.json": (0, 1, "broken"), "c.json": (0, 0, "empty")}
+    assert outcomes(readers.json_array_outcomes(spark, f"{tmp_path}/none"))[0][-1] == "missing"

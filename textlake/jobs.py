@@ -75,10 +75,12 @@ def news(spark: SparkSession, source: str, target: str) -> None:
 
 def land(spark: SparkSession, target: str, *feeds: str) -> None:
     """Landed feed files, given as ``name=path``, as JSON of today."""
-    items = readers.read_feeds(spark, dict(feed.split("=", 1) for feed in feeds)).persist()
+    named = dict(feed.split("=", 1) for feed in feeds)
+    items = readers.read_feeds(spark, named).persist()
     writers.land_json(items, target)
     cleaning.count_per_group(items, "source").show()
     items.unpersist()
+    readers.feed_outcomes(spark, named).where("state <> 'read'").show(truncate=False)
 
 
 def refresh(

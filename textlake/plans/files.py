@@ -82,6 +82,28 @@ def feed_items(spark, folder):
     return readers.read_feeds(spark, feeds)
 
 
+def feed_outcomes(spark, folder):
+    """A feed per language in one file each, one of files that are no feeds, and one that never landed."""
+    path = work_path(spark, "feeds")
+    documents = table(spark, folder, "documents").select("lang", F.col("text").alias("description"))
+    documents.repartition("lang").write.partitionBy("lang").option("rowTag", "item").option(
+        "rootTag", "channel"
+    ).format("xml").save(f"{path}/landed")
+    table(spark, folder, "benchmark").select("text").write.option("maxRecordsPerFile", 1).text(f"{path}/broken")
+    langs = [r["lang"] for r in documents.select("lang").distinct().collect()]
+    feeds = {lang: f"{path}/landed/lang={lang}" for lang in langs}
+    feeds |= {"broken": f"{path}/broken", "none": f"{path}/none"}
+    return (
+        readers.feed_outcomes(spark, feeds)
+        .groupBy("source", "state")
+        .agg(
+            F.count_if(F.col("bytes") > 0).alias("files"),
+            F.sum("items").alias("items"),
+            F.sum("broken").alias("broken"),
+        )
+    )
+
+
 def document_dir_scan(spark, folder):
     """A folder tree with one file per document."""
     path = work_path(spark, "texts")
@@ -101,6 +123,7 @@ QUERIES = {
     "parquet_round_trip": parquet_round_trip,
     "csv_report": csv_report,
     "feed_items": feed_items,
+    "feed_outcomes": feed_outcomes,
     "document_dir_scan": document_dir_scan,
 }
 
@@ -122,5 +145,10 @@ ORACLES = {
           '' AS published,
           {html_sql("'<p>' || replace(text, chr(10), '</p>' || chr(10) || '<p>')")} AS summary
         FROM documents""",
+    "feed_outcomes": """
+        SELECT lang AS source, 'read' AS state, CAST(1 AS BIGINT) AS files, count(*) AS items, CAST(0 AS BIGINT) AS broken
+        FROM documents GROUP BY lang
+        UNION ALL SELECT 'broken', 'broken', count(*), 0, count(*) FROM benchmark
+        UNION ALL SELECT 'none', 'missing', 0, 0, 0""",
     "document_dir_scan": "SELECT lang, text || chr(10) AS text FROM documents",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -86,45 +87,107 @@ def read_json_arrays(
     return items.where(~lost).select(*schema.names)
 
 
-def read_feeds(spark: SparkSession, feeds: Mapping[str, str]) -> DataFrame:
+def _feed(spark: SparkSession, source: str, path: str) -> DataFrame | None:
+    """The raw items of one feed, with the source's name; None where it did not land."""
+    try:
+        items = (
+            spark.read.format("xml")
+            .schema(FEED_ITEM)
+            .option("rowTag", "item")
+            .option("mode", "PERMISSIVE")
+            .option("ignoreCorruptFiles", True)
+            .load(path)
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        logger.warning("feed %s did not land at %s", source, path)
+        return None
+    return items.withColumn("source", F.lit(source))
+
+
+def read_feeds(
+    spark: SparkSession, feeds: Mapping[str, str], broken: Observation | None = None
+) -> DataFrame:
     """Items of landed RSS files, ``{source name: path}``, as rows of ``NEWS``.
 
     Missing fields become empty text and the summary loses its HTML. A feed that
     did not land, or a file that cannot be parsed, is skipped; no item at all is
-    an error.
+    an error. With ``broken``, what could not be parsed is counted under ``items`` while
+    the others are read; ``feed_outcomes`` says which files these are.
     """
-    parts = []
-    for source, path in feeds.items():
-        try:
-            items = (
-                spark.read.format("xml")
-                .schema(FEED_ITEM)
-                .option("rowTag", "item")
-                .option("mode", "PERMISSIVE")
-                .option("ignoreCorruptFiles", True)
-                .load(path)
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            logger.warning("feed %s did not land at %s", source, path)
-            continue
-        parts.append(
-            # A file that is no XML gives one item that holds its text.
-            items.where(~_broken(FEED_ITEM)).select(
-                F.lit(source).alias("source"),
-                text_or_empty(F.col("title")).alias("title"),
-                text_or_empty(F.col("link")).alias("link"),
-                text_or_empty(F.col("pubDate")).alias("published"),
-                html_to_text(F.col("description")).alias("summary"),
-            )
-        )
-    items = parts[0] if parts else None
-    for part in parts[1:]:
-        items = items.unionByName(part)
-    if items is None or items.isEmpty():
+    parts = [part for source, path in feeds.items() if (part := _feed(spark, source, path)) is not None]
+    if not parts:
+        raise RuntimeError("no feed has any item")
+    items = reduce(DataFrame.unionByName, parts)
+    # A file that is no XML gives one item that holds its text.
+    lost = _broken(FEED_ITEM)
+    if items.where(~lost).isEmpty():
         raise RuntimeError("no feed has any item")
-    return items
+    if broken is not None:
+        items = items.observe(broken, F.count_if(lost).alias("items"))
+    return items.where(~lost).select(
+        "source",
+        text_or_empty(F.col("title")).alias("title"),
+        text_or_empty(F.col("link")).alias("link"),
+        text_or_empty(F.col("pubDate")).alias("published"),
+        html_to_text(F.col("description")).alias("summary"),
+    )
+
+
+OUTCOMES = "source string, file string, bytes bigint, items bigint, broken bigint, state string"
+
+
+def _outcomes(spark: SparkSession, source: str, path: str, rows: DataFrame | None, lost: Column) -> DataFrame:
+    """What became of each file below a path; ``rows`` is how the path was read, None if it is not there."""
+    if rows is None:
+        return spark.createDataFrame([(source, path, 0, 0, 0, "missing")], OUTCOMES)
+    # The listing alone: contents of the files are not read here.
+    files = spark.read.format("binaryFile").load(path)
+    files = files.select("path", F.col("length").alias("bytes"), F.col("_metadata.file_path").alias("_path"))
+    counts = (
+        rows.select(F.col("_metadata.file_path").alias("_path"), lost.alias("lost"))
+        .groupBy("_path")
+        .agg(F.count_if(~F.col("lost")).alias("items"), F.count_if("lost").alias("broken"))
+    )
+    met = files.join(counts, "_path", "left")
+    items, broken = F.coalesce("items", F.lit(0)), F.coalesce("broken", F.lit(0))
+    state = (
+        F.when((items > 0) & (broken == 0), "read")
+        .when(items > 0, "partly read")
+        .when(broken > 0, "broken")
+        .otherwise("empty")
+    )
+    return met.select(
+        F.lit(source).alias("source"),
+        F.col("path").alias("file"),
+        "bytes",
+        items.alias("items"),
+        broken.alias("broken"),
+        state.alias("state"),
+    )
+
+
+def feed_outcomes(spark: SparkSession, feeds: Mapping[str, str]) -> DataFrame:
+    """One row for each file of each feed: ``source, file, bytes, items, broken, state``.
+
+    ``state`` is ``read``, ``partly read`` (some of its items are broken), ``broken``, ``empty`` (no item), or for a
+    feed that did not land ``missing``, with its path as the file. Spark packs files into tasks by their bytes.
+    """
+    parts = [_outcomes(spark, s, path, _feed(spark, s, path), _broken(FEED_ITEM)) for s, path in feeds.items()]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], OUTCOMES)
+
+
+def json_array_outcomes(spark: SparkSession, path: str, schema: T.StructType = NEWS) -> DataFrame:
+    """The rows of ``feed_outcomes`` for files of one JSON array each; ``source`` is the path."""
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    try:
+        rows = spark.read.schema(marked).json(path, multiLine=True)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = None
+    return _outcomes(spark, path, path, rows, _broken(schema))
 
 
 def read_documents(spark: SparkSession, directory: str, pattern: str = "*.md") -> DataFrame:
