@@ -229,7 +229,8 @@ def test_feed_outcomes(spark, tmp_path):
     (folder / "good one.xml").write_text(f"<rss><channel>{item.format('a')}{item.format('b')}</channel></rss>")
     (folder / "50%.xml").write_text(f"<rss><channel>{item.format('c')}</channel></rss>")
     (folder / "text.xml").write_text("no feed at all")
-    (folder / "none.xml").write_text("")
+    (folder / "none.xml").write_text("<rss><channel></channel></rss>")
+    (folder / "zero.xml").write_text("")  # not listed by Spark
     feeds = {"f": str(folder), "gone": str(tmp_path / "gone")}
     assert outcomes(readers.feed_outcomes(spark, feeds)) == [
         ("f", "50%.xml", 1, 0, "read"),

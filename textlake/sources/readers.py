@@ -172,7 +172,7 @@ def feed_outcomes(spark: SparkSession, feeds: Mapping[str, str]) -> DataFrame:
     """One row for each file of each feed: ``source, file, bytes, items, broken, state``.
 
     ``state`` is ``read``, ``partly read`` (some of its items are broken), ``broken``, ``empty`` (no item), or for a
-    feed that did not land ``missing``, with its path as the file. Spark packs files into tasks by their bytes.
+    feed that did not land ``missing``, with its path as the file. Spark packs files into tasks by their bytes; it does not list files of no bytes.
     """
     parts = [_outcomes(spark, s, path, _feed(spark, s, path), _broken(FEED_ITEM)) for s, path in feeds.items()]
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], OUTCOMES)
