@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textlake.operators import cleaning, merge
 from textlake.operators.dedupe import keep_first
+from textlake.operators.key_filters import KeyedStore
 from textlake.plans.views import (
     COMMON_NEGATIVE,
     COMMON_POSITIVE,
@@ -62,6 +63,21 @@ def stream_refresh(spark, folder):
     return spark.read.parquet(target)
 
 
+def keyed_store(spark, folder):
+    """The stored part, with a filter of the links in each of its files."""
+    keyed = KeyedStore(spark, work_path(spark, "keyed"))
+    keyed.add(store(spark, folder))
+    return keyed
+
+
+def filtered_merge(spark, folder):
+    """All news added twice to the keyed store."""
+    keyed = keyed_store(spark, folder)
+    for _ in range(2):
+        keyed.append_new(news(spark, folder), **WORDS)
+    return keyed.rows.read()
+
+
 def seen_store(spark, folder):
     """Three landings, of which the second repeats the first and the last is late: links are known by the stream's state."""
     root = work_path(spark, "seen")
@@ -102,6 +118,8 @@ QUERIES = {
     "incremental_merge": incremental_merge,
     "refresh_summary": lambda s, d: merge.refresh_summary(store(s, d), news(s, d)),
     "stream_refresh": stream_refresh,
+    "new_items_filtered": lambda s, d: keyed_store(s, d).new_items(cleaning.titled(news(s, d))),
+    "incremental_merge_filtered": filtered_merge,
     "stream_refresh_seen": lambda s, d: seen_store(s, d).read(),
     "stored_sentiment_counts": lambda s, d: stored_counts(seen_store(s, d), "sentiment"),
     "stored_items_per_source": lambda s, d: stored_counts(seen_store(s, d), "source"),
@@ -155,6 +173,8 @@ ORACLES = {
     + """SELECT (SELECT count(*) FROM added) AS new_news,
                 (SELECT count(*) FROM merged) AS total""",
     "stream_refresh": MERGED_SQL,
+    "new_items_filtered": STORE_SQL + "SELECT * FROM added",
+    "incremental_merge_filtered": MERGED_SQL,
     "stream_refresh_seen": MERGED_SQL,
     "stored_sentiment_counts": f"""SELECT sentiment, count(*) AS "count" FROM ({MERGED_SQL}) GROUP BY ALL""",
     "stored_items_per_source": f"""SELECT source, count(*) AS "count" FROM ({MERGED_SQL}) GROUP BY ALL""",
