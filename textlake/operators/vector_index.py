@@ -293,7 +293,7 @@ def tune_index(index: VectorIndex, k: int = TOP_K, target: float = 0.95, rows: i
 
 
 def _asked(queries: DataFrame, cells: Cells, probes: int, bounded: bool) -> DataFrame:
-    """``query_id, embedding, cell``: the cells that each query goes to.
+    """``query_id, embedding, cells``: the cells that each query goes to, if there are any.
 
     Without ``bounded`` the ``probes`` nearest centres. With it, all others whose vectors may be as near
     as the query's ``bound``; a query without a bound goes to all.
@@ -321,18 +321,18 @@ def _asked(queries: DataFrame, cells: Cells, probes: int, bounded: bool) -> Data
                     slack = 1e-6 * (1 + scale * cells.centres.shape[1])
                     wanted = ~wanted & (gaps - cells.radii <= (np.sqrt(bound) + slack)[:, None]) & np.isfinite(gaps)
                 who, where = np.nonzero(wanted)
+                ends = np.searchsorted(who, np.arange(len(wanted) + 1)).astype(np.int32)
+                asking = pa.array(np.flatnonzero(np.diff(ends)))
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(cells.numbers[where]))
+                part = batch.slice(at, len(wanted))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("query_id").take(pa.array(at + who)),
-                        batch.column("embedding").take(pa.array(at + who)),
-                        pa.array(cells.numbers[where]),
-                    ],
-                    names=["query_id", "embedding", "cell"],
-                )
+                    [part.column("query_id"), part.column("embedding"), lists],
+                    names=["query_id", "embedding", "cells"],
+                ).take(asking)
 
     kinds = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
     return queries.mapInArrow(
-        choose, f"query_id {kinds['query_id']}, embedding {kinds['embedding']}, cell bigint"
+        choose, f"query_id {kinds['query_id']}, embedding {kinds['embedding']}, cells array<bigint>"
     )
 
 
@@ -346,12 +346,20 @@ def _hits_schema(queries: DataFrame, lists: DataFrame) -> T.StructType:
     )
 
 
+def _askers(lists: pa.ListArray) -> dict[int, np.ndarray]:
+    """Which rows have a cell in their list, by cell."""
+    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    cell = lists.flatten().to_numpy()
+    order = np.argsort(cell, kind="stable")
+    found, begins = np.unique(cell[order], return_index=True)
+    return dict(zip(found.tolist(), np.split(owner[order], begins[1:]), strict=True)) if len(found) else {}
+
+
 def _sent(asked: DataFrame, lists: DataFrame, k: int, metric: str, skip: bool, schema) -> DataFrame:
     """Hits of few queries: they go to the lists, which are read where they are."""
-    rows = asked.toArrow()
+    rows = asked.toArrow().combine_chunks()
     ids, vectors = rows["query_id"].to_pandas().to_numpy(), _matrix(rows["embedding"], rows.num_rows)
-    cell = rows["cell"].to_numpy()
-    groups = {int(c): (ids[cell == c], vectors[cell == c]) for c in np.unique(cell)}
+    groups = {c: (ids[at], vectors[at]) for c, at in _askers(rows["cells"].combine_chunks()).items()}
     sent = lists.sparkSession.sparkContext.broadcast(groups)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,58 +379,116 @@ def _sent(asked: DataFrame, lists: DataFrame, k: int, metric: str, skip: bool, s
     return lists.select("doc_id", "embedding", "cell").mapInArrow(score, schema)
 
 
-def _grouped(asked: DataFrame, sizes: dict[int, int], lists: DataFrame, cells: Cells, k: int, skip: bool, schema) -> DataFrame:
-    """Hits of many queries: they and the lists are shuffled by cell, queries ahead of vectors.
+def _bundles(cells: Cells, tasks: int) -> tuple[np.ndarray, dict[int, int]]:
+    """A bundle for each cell, and how many parts a bundle has: cells that are read together, ``LIST_ROWS`` vectors a part at most.
+
+    A query goes to a bundle once, whatever the number of its cells there.
+    """
+    room = min(LIST_ROWS, max(1, math.ceil(cells.rows.sum() / tasks)))
+    bundle, number, filled = np.zeros(len(cells.numbers), np.int64), 0, 0
+    for i, rows in enumerate(cells.rows.tolist()):
+        if filled and filled + rows > room:
+            number, filled = number + 1, 0
+        bundle[i], filled = number, filled + rows
+    sizes = np.bincount(bundle, weights=cells.rows)
+    return bundle, {b: max(1, math.ceil(n / LIST_ROWS)) for b, n in enumerate(sizes.tolist())}
+
+
+def _dealt(asked: DataFrame, numbers: np.ndarray, bundle: np.ndarray) -> DataFrame:
+    """``bundle, query_id, embedding, cells``: each query once for a bundle, with its cells in it."""
+    sent = asked.sparkSession.sparkContext.broadcast((numbers, bundle))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, bundle = sent.value
+        for batch in batches:
+            lists = batch.column("cells")
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            cell = lists.flatten().to_numpy()
+            own = bundle[np.searchsorted(numbers, cell)]
+            # Cells come in the order of their numbers, and so do bundles.
+            new = np.ones(len(own), bool)
+            new[1:] = (own[1:] != own[:-1]) | (owner[1:] != owner[:-1])
+            begins = np.flatnonzero(new)
+            at = pa.array(owner[begins])
+            ends = pa.array(np.append(begins, len(own)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(own[begins]),
+                    batch.column("query_id").take(at),
+                    batch.column("embedding").take(at),
+                    pa.ListArray.from_arrays(ends, pa.array(cell)),
+                ],
+                names=["bundle", "query_id", "embedding", "cells"],
+            )
+
+    kinds = {f.name: f.dataType.simpleString() for f in asked.schema.fields}
+    return asked.mapInArrow(
+        deal,
+        f"bundle bigint, query_id {kinds['query_id']}, embedding {kinds['embedding']}, cells array<bigint>",
+    )
+
+
+def _grouped(asked: DataFrame, lists: DataFrame, cells: Cells, k: int, skip: bool, schema) -> DataFrame:
+    """Hits of many queries: they and the lists are shuffled by bundles of cells, queries ahead of vectors.
 
-    A list of more than ``LIST_ROWS`` vectors is dealt to parts, queries of more than ``GROUP_QUERIES`` to groups; each part
+    A bundle of more than ``LIST_ROWS`` vectors is dealt to parts, its queries to groups of ``GROUP_QUERIES``; each part
     meets each group in a task of its own. A task holds its queries and reads the vectors as they come.
     """
-    rows = dict(zip(cells.numbers.tolist(), cells.rows.tolist(), strict=True))
-    parts = [(c, max(1, math.ceil(rows[c] / LIST_ROWS)), math.ceil(n / GROUP_QUERIES)) for c, n in sizes.items()]
     spark = asked.sparkSession
-    # No more rows than there are cells.
-    dealt = F.broadcast(spark.createDataFrame(parts, "cell bigint, parts bigint, groups bigint"))
+    bundle, parts = _bundles(cells, 2 * spark.sparkContext.defaultParallelism)
+    queries = _dealt(asked, cells.numbers, bundle)
+    # A row for each bundle: no more than there are cells.
+    counts = {r["bundle"]: r["count"] for r in queries.groupBy("bundle").count().collect()}
+    rows = [(b, parts[b], math.ceil(n / GROUP_QUERIES)) for b, n in counts.items()]
+    dealt = F.broadcast(spark.createDataFrame(rows, "bundle bigint, parts bigint, groups bigint"))
+    homes = list(zip(cells.numbers.tolist(), bundle.tolist(), strict=True))
+    homes = F.broadcast(spark.createDataFrame(homes, "cell bigint, bundle bigint"))
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    one = asked.join(dealt, "cell").select(
-        "cell", spread("parts").alias("part"), F.pmod(F.xxhash64("query_id"), "groups").alias("group"),
-        F.lit(0).alias("kind"), "query_id", F.lit(None).cast(lists.schema["doc_id"].dataType).alias("doc_id"), "embedding",
+    none = lambda df, name: F.lit(None).cast(df.schema[name].dataType).alias(name)
+    one = queries.join(dealt, "bundle").select(
+        "bundle", spread("parts").alias("part"), F.pmod(F.xxhash64("query_id"), "groups").alias("group"),
+        F.lit(-1).cast("bigint").alias("cell"), "query_id", none(lists, "doc_id"), "embedding", "cells",
     )
-    two = lists.join(dealt, "cell").select(
-        "cell", F.pmod(F.xxhash64("doc_id"), "parts").alias("part"), spread("groups").alias("group"),
-        F.lit(1).alias("kind"), F.lit(None).cast(asked.schema["query_id"].dataType).alias("query_id"), "doc_id",
-        F.col("embedding").cast(asked.schema["embedding"].dataType).alias("embedding"),
+    two = lists.join(homes, "cell").join(dealt, "bundle").select(
+        "bundle", F.pmod(F.xxhash64("doc_id"), "parts").alias("part"), spread("groups").alias("group"),
+        "cell", none(asked, "query_id"), "doc_id",
+        F.col("embedding").cast(asked.schema["embedding"].dataType).alias("embedding"), none(asked, "cells"),
     )
     metric = cells.metric
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, vectors, best = None, [], [], None
+        key, held, asking, best = None, [], None, None
         for batch in batches:
-            keys = np.column_stack([batch.column(n).to_numpy() for n in ("cell", "part", "group", "kind")])
+            keys = np.column_stack([batch.column(n).to_numpy() for n in ("bundle", "part", "group", "cell")])
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             for low, high in zip([0, *cuts], [*cuts, len(keys)], strict=True):
                 if low == high:
                     continue
-                *this, kind = keys[low].tolist()
+                *this, cell = keys[low].tolist()
+                run = batch.slice(low, high - low)
                 if this != key:
                     if best is not None:
                         yield pa.RecordBatch.from_pandas(best, preserve_index=False)
-                    key, ids, vectors, best = this, [], [], None
-                run = batch.slice(low, high - low)
-                matrix = _matrix(run.column("embedding"), run.num_rows)
-                if not kind:
-                    ids.append(run.column("query_id").to_pandas().to_numpy())
-                    vectors.append(matrix)
-                elif ids:
-                    if len(ids) > 1:
-                        ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
+                    key, held, asking, best = this, [], None, None
+                if cell < 0:
+                    held.append(run.select(["query_id", "embedding", "cells"]))
+                    continue
+                if asking is None and held:
+                    rows = pa.Table.from_batches(held).combine_chunks()
+                    ids = rows["query_id"].to_pandas().to_numpy()
+                    vectors = _matrix(rows["embedding"], len(ids))
+                    asking = _askers(rows["cells"].combine_chunks())
+                if asking and cell in asking:
+                    who = asking[cell]
                     doc_ids = run.column("doc_id").to_pandas().to_numpy()
-                    hits = _best(ids[0], vectors[0], doc_ids, matrix, k, metric, skip)
+                    points = _matrix(run.column("embedding"), run.num_rows)
+                    hits = _best(ids[who], vectors[who], doc_ids, points, k, metric, skip)
                     best = hits if best is None else _cut(pd.concat([best, hits]), k)
         if best is not None:
             yield pa.RecordBatch.from_pandas(best, preserve_index=False)
 
-    met = one.unionByName(two).repartition("cell", "part", "group")
-    return met.sortWithinPartitions("cell", "part", "group", "kind").mapInArrow(score, schema)
+    met = one.unionByName(two).repartition("bundle", "part", "group")
+    return met.sortWithinPartitions("bundle", "part", "group", "cell").mapInArrow(score, schema)
 
 
 def _hits(queries, index, version, cells, probes, bounded, k, skip, block_bytes, work) -> DataFrame:
@@ -430,7 +496,8 @@ def _hits(queries, index, version, cells, probes, bounded, k, skip, block_bytes,
         return queries.sparkSession.createDataFrame([], _hits_schema(queries, index.lists.read(version)))
     asked = round_trip(_asked(queries, cells, probes, bounded), f"{work}/asked-{bounded}")
     # A row for each cell that is asked: no more than there are cells.
-    sizes = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
+    each = asked.select(F.explode("cells").alias("cell")).groupBy("cell").count()
+    sizes = {r["cell"]: r["count"] for r in each.collect()}
     lists = index.lists.read(version, [str(c) for c in sizes])
     schema = _hits_schema(queries, lists)
     width = 8 * cells.centres.shape[1] + 32
@@ -438,7 +505,7 @@ def _hits(queries, index, version, cells, probes, bounded, k, skip, block_bytes,
         if not sizes:
             return queries.sparkSession.createDataFrame([], schema)
         return _sent(asked, lists, k, cells.metric, skip, schema)
-    return _grouped(asked, sizes, lists, cells, k, skip, schema)
+    return _grouped(asked, lists, cells, k, skip, schema)
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
