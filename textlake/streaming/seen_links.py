@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -40,19 +39,14 @@ class FirstOfLink(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean", self.forget_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if self.seen.exists():
             for _ in rows:
                 pass
             return
-        first = None
-        for frame in rows:
-            frame = frame[self.names].astype(object).where(frame[self.names].notna(), None)
-            for row in frame.itertuples(index=False, name=None):
-                if first is None or _order(row) < _order(first):
-                    first = row
+        first = min((tuple(row[name] for name in self.names) for row in rows), key=_order)
         self.seen.update((True,))
-        yield pd.DataFrame([first], columns=self.names)
+        yield Row(**dict(zip(self.names, first, strict=True)))
 
     def close(self) -> None:
         pass
@@ -66,7 +60,7 @@ def first_of_link(items: DataFrame, forget_ms: int | None = None) -> DataFrame:
     """
     names = [name for name in items.columns if name != "link"]
     key = F.to_json(F.struct("link")).alias("_key")
-    return items.select(key, "*").groupBy("_key").transformWithStateInPandas(
+    return items.select(key, "*").groupBy("_key").transformWithState(
         FirstOfLink(["link", *names], forget_ms),
         ", ".join(f"{n} string" for n in ["link", *names]),
         "Append",
