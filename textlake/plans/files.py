@@ -83,10 +83,10 @@ def feed_items(spark, folder):
 
 
 def feed_outcomes(spark, folder):
-    """A feed per language in one file each, one of files that are no feeds, and one that never landed."""
+    """A feed per language, one of files that are no feeds, and one that never landed."""
     path = work_path(spark, "feeds")
     documents = table(spark, folder, "documents").select("lang", F.col("text").alias("description"))
-    documents.repartition("lang").write.partitionBy("lang").option("rowTag", "item").option(
+    documents.write.partitionBy("lang").option("rowTag", "item").option(
         "rootTag", "channel"
     ).format("xml").save(f"{path}/landed")
     table(spark, folder, "benchmark").select("text").write.option("maxRecordsPerFile", 1).text(f"{path}/broken")
@@ -96,11 +96,7 @@ def feed_outcomes(spark, folder):
     return (
         readers.feed_outcomes(spark, feeds)
         .groupBy("source", "state")
-        .agg(
-            F.count_if(F.col("bytes") > 0).alias("files"),
-            F.sum("items").alias("items"),
-            F.sum("broken").alias("broken"),
-        )
+        .agg(F.sum("items").alias("items"), F.sum("broken").alias("broken"))
     )
 
 
@@ -146,9 +142,9 @@ ORACLES = {
           {html_sql("'<p>' || replace(text, chr(10), '</p>' || chr(10) || '<p>')")} AS summary
         FROM documents""",
     "feed_outcomes": """
-        SELECT lang AS source, 'read' AS state, CAST(1 AS BIGINT) AS files, count(*) AS items, CAST(0 AS BIGINT) AS broken
+        SELECT lang AS source, 'read' AS state, count(*) AS items, CAST(0 AS BIGINT) AS broken
         FROM documents GROUP BY lang
-        UNION ALL SELECT 'broken', 'broken', count(*), 0, count(*) FROM benchmark
-        UNION ALL SELECT 'none', 'missing', 0, 0, 0""",
+        UNION ALL SELECT 'broken', 'broken', 0, count(*) FROM benchmark
+        UNION ALL SELECT 'none', 'missing', 0, 0""",
     "document_dir_scan": "SELECT lang, text || chr(10) AS text FROM documents",
 }
