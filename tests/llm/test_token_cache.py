@@ -59,3 +59,30 @@ def test_odd_texts_and_the_cache(spark, tmp_path, tokenizer, monkeypatch):
     assert token_cache.count_tokens(more, PATH, cache).where("doc_id = 99").first().n_tokens == 2
     assert spark.read.parquet(path).count() == len(ODD) - 2
     assert token_cache.count_tokens(docs.limit(0), PATH, str(tmp_path / "none")).count() == 0
+
+
+def test_second_call_of_the_query_encodes_nothing(spark, folder, monkeypatch):
+    first = sorted(map(tuple, registry.op10_token_counts(spark, folder).collect()))
+    asked = []
+    plain = token_cache.encode_distinct
+
+    def counted(texts, path):
+        asked.append(texts.count())
+        return plain(texts, path)
+
+    monkeypatch.setattr(token_cache, "encode_distinct", counted)
+    assert sorted(map(tuple, registry.op10_token_counts(spark, folder).collect())) == first
+    assert asked == [0]
+
+
+def test_common_texts_and_counts_stored_twice(spark, tmp_path, tokenizer):
+    rows = [(i, "one and the same text" if i % 3 else f"text number {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cache = str(tmp_path / "cache")
+    wanted = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in rows}
+    assert {r.doc_id: r.n_tokens for r in token_cache.count_tokens(docs, PATH, cache).collect()} == wanted
+    path = f"{cache}/version={token_cache.tokenizer_version(PATH)}"
+    spark.read.parquet(path).write.mode("append").parquet(f"{path}")  # as two runs at once leave it
+    assert spark.read.parquet(path).count() == 2 * 1001
+    got = token_cache.count_tokens(docs, PATH, cache).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.n_tokens for r in got} == wanted

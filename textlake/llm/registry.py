@@ -22,7 +22,7 @@ from textlake.llm import (
     toxicity,
 )
 from textlake.llm.storage import held_out, table
-from textlake.session import work_path
+from textlake.session import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -72,7 +72,7 @@ def op10_token_counts(spark, folder):
     return token_cache.count_tokens(
         table(spark, folder, "documents"),
         public_tokenizers.path(TOKENIZER),
-        work_path(spark, "token-cache"),
+        f"{shared_folder(spark)}/textlake/token-cache",
     )
 
 

@@ -29,6 +29,8 @@ CACHE_SCHEMA = "digest binary, n_tokens bigint"
 REMEMBERED = 500_000
 # Pieces joined into one text for the tokenizer.
 JOINED = 2000
+# A digest is common when it has this part of all rows.
+COMMON = 1000
 
 _tokenizers: dict[str, object] = {}
 _pieces: dict[str, dict[bytes, int]] = {}
@@ -119,7 +121,7 @@ def count_tokens(
     cache. A null text counts as empty (0 tokens). Equal rows give equal rows back,
     ``doc_id`` may be null, other columns are not looked at, and an empty table
     gives an empty one. A failed run leaves the cache as it was or with whole rows
-    added; a digest stored twice is read once.
+    added; a digest stored twice (by two runs at once) counts once.
     """
     spark = documents.sparkSession
     rows = documents.select(
@@ -132,11 +134,16 @@ def count_tokens(
     path = f"{cache_path}/version={tokenizer_version(tokenizer_path)}"
     cached = read_or(spark, path, CACHE_SCHEMA)
 
-    # One row stands for each digest that the cache lacks; only its text is moved.
+    # One row for each digest met, with its stored count. The cache is only looked up, never de-duplicated
+    # as a whole: what is stored twice falls together here, where rows are divided by digest already.
     first = rows.groupBy("digest").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("at")
+        F.count("*").alias("times"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("at")
     )
-    missing = first.join(cached, "digest", "left_anti").select(
+    met = first.join(cached, "digest", "left").groupBy("digest", "times", "at").agg(F.max("n_tokens").alias("n_tokens"))
+    met = scratch.keep(met, "met")
+
+    # One document stands for each digest that the cache lacks.
+    missing = met.where("n_tokens IS NULL").select(
         F.col("digest").alias("_digest"), F.col("at.doc_id").alias("_doc_id")
     )
     texts = documents.select("doc_id", "text", content_digest(F.col("text")).alias("digest"))
@@ -145,10 +152,27 @@ def count_tokens(
         (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")),
         "left_semi",
     )
-    fresh = encode_distinct(chosen, tokenizer_path).dropDuplicates(["digest"])
-    fresh.write.mode("append").parquet(path)
+    fresh = scratch.keep(encode_distinct(chosen, tokenizer_path).dropDuplicates(["digest"]), "fresh")
+    if not fresh.isEmpty():
+        fresh.write.mode("append").parquet(path)
 
-    counts = read_or(spark, path, CACHE_SCHEMA).dropDuplicates(["digest"])
-    return rows.join(counts, "digest").select(
+    known = met.where("n_tokens IS NOT NULL").select("digest", "n_tokens", "times")
+    counts = known.unionByName(fresh.join(met.select("digest", "times"), "digest"))
+    return _with_counts(rows, counts).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
+
+
+def _with_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` with the ``n_tokens`` of their digest; ``counts`` says how many rows each has.
+
+    Texts with a thousandth of all rows or more, of which there are a thousand at most, go to the rows; so no
+    digest brings a large part of the rows together.
+    """
+    total = rows.count()
+    often = F.col("times") * COMMON >= F.lit(total)
+    common = counts.where(often).select("digest", "n_tokens")
+    others = counts.where(~often).select("digest", "n_tokens")
+    near = rows.join(F.broadcast(common), "digest")
+    far = rows.join(F.broadcast(common.select("digest")), "digest", "left_anti")
+    return near.unionByName(far.join(others, "digest"))
