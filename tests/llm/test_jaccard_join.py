@@ -5,11 +5,13 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from textlake.llm import jaccard_join, registry
 from textlake.llm.components import components
 from textlake.llm.storage import Scratch
+from textlake.llm.words import run_hash, shingles, slices, words
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -132,3 +134,19 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(edges, "u long, v long")
     got = {r.node: r.component for r in components(df, Scratch(spark, "test")).collect()}
     assert got == {x: find(x) for u, v in edges if u != v for x in (u, v)}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8])
+def test_shingles_of_slices_with_few_words(size):
+    for n in range(10):
+        for texts in ([" ".join(f"w{i}" for i in range(n))], [f"w{i}" for i in range(n)]):
+            (piece,) = slices(pa.array([*texts, None]))
+            found = words(piece)
+            made, first = shingles(found, size)
+            assert first.tolist()[-1] == len(made)
+            for row, text in enumerate(texts):
+                own = made[first[row] : first[row + 1]].tolist()
+                parts = found.hash[found.first[row] : found.first[row + 1]]
+                count = len(text.split())
+                runs = [parts[i : i + size] for i in range(max(count - size + 1, min(count, 1)))]
+                assert own == [run_hash(r) for r in runs]

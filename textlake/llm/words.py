@@ -145,7 +145,7 @@ def shingles(found: Words, size: int, short: bool = True) -> tuple[np.ndarray, n
         return np.zeros(0, np.uint64), first
     total = np.full(max(n - size + 1, 0), size, np.uint64)
     for j in range(size):
-        total = (total + found.hash[j : n - size + 1 + j]) * np.uint64(_ODD)
+        total = (total + found.hash[j : j + len(total)]) * np.uint64(_ODD)
     total = mix(total)
     out = np.zeros(first[-1], np.uint64)
     owner = np.repeat(np.arange(len(made)), made)
