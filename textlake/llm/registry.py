@@ -122,8 +122,16 @@ def _runs_sql(source: str, key: str, k: int, words: str) -> str:
 _PLAIN_WORDS = _WORDS.format(text=_LOWER.format(text="coalesce(text, '')"))
 
 ITEMS_SQL = f"""
-WITH d AS ({_runs_sql("documents", "doc_id", 5, _PLAIN_WORDS)}),
-b AS ({_runs_sql("benchmark", "item_id", 5, _PLAIN_WORDS)}),
+WITH short AS (
+  SELECT item_id, len(w) AS k, array_to_string(w, ' ') AS s
+  FROM (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark) WHERE len(w) BETWEEN 1 AND 4),
+d AS ({_runs_sql("documents", "doc_id", 5, _PLAIN_WORDS)}
+  UNION ALL
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s
+  FROM (SELECT doc_id, k, {_PLAIN_WORDS} AS w FROM documents, (SELECT DISTINCT k FROM short)),
+       LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)),
+b AS ({_runs_sql("benchmark", "item_id", 5, _PLAIN_WORDS)}
+  UNION ALL SELECT DISTINCT item_id, s FROM short),
 sizes AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id),
 met AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
