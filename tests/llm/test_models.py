@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import math
 import random
 import re
@@ -320,3 +322,11 @@ def test_mixing_odd_rows(spark):
     assert mixed.count() == sum(r.copies > 0 for r in got)
     assert soft_mixing.document_rates(docs, labels.limit(0)).count() == 5
     assert soft_mixing.document_rates(docs.limit(0), labels).count() == 0
+
+
+def test_words_too_unlikely_for_a_double_keep_their_score():
+    read = SimpleNamespace(found=SimpleNamespace(first=np.array([0, 2])), back=np.array([0, 1]))
+    logs = np.array([-2.0, -900.0, -1.0])
+    got = attention_lm.mixed_scores(read, SimpleNamespace(ends=5, n=100), logs, np.array([0.1, 0.0]))
+    half = np.log10(0.5)
+    assert np.allclose(got, [half + np.log10(0.11) + half - 900 + half + np.log10(0.15)])

@@ -48,7 +48,7 @@ def pii_text(df, clean):
     return texts[F.col("doc_id")]
 
 
-@pytest.mark.parametrize("place", range(4))
+@pytest.mark.parametrize("place", range(5))
 def test_stages_on_odd_rows(spark, folder, place):
     rows = [(1, None, None, None, None), (None, "", "en", "s", 0), (3, "write a@b.cd now " * 9000, "", "", 5)]
     rows += [(4, "same words again here ok", "en", "s", 1)] * 2
@@ -56,7 +56,23 @@ def test_stages_on_odd_rows(spark, folder, place):
     docs = spark.createDataFrame(rows, schema).selectExpr("*", "1 AS row", "'x' AS `key`", "2 AS n_tokens")
     name, stage = pipeline.STAGES[place]
     out = stage(spark, docs, folder)
-    assert out.columns == docs.columns
-    counts = {"quality": 0, "near copies": 4, "decontamination": 5, "private data": 5}
+    more = ["mix_rate", "mix_copies"] if name == "mixing" else []
+    assert out.columns == docs.columns + more
+    counts = {"quality": 0, "near copies": 4, "decontamination": 5, "private data": 5, "mixing": 5}
     assert out.count() == counts[name]
     assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+@pytest.mark.parametrize("place", range(5))
+def test_stages_on_columns_named_as_their_own(spark, folder, place):
+    rows = [(i, f"text number {i} says what only it can say", 0.5, 1) for i in range(4)] + [(9, None, 0.5, 1)]
+    made = ["_number", "_sha", "digest", "doc", "p", "rate", "copies", "component_id", "first", "_least"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mix_rate double, mix_copies long")
+    docs = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "mix_rate", "mix_copies", *[f"7 AS {c}" for c in made])
+    name, stage = pipeline.STAGES[place]
+    out = stage(spark, docs, folder)
+    wanted = [c for c in docs.columns if not c.startswith("mix_")] + ["mix_rate", "mix_copies"]
+    assert out.columns == (wanted if name == "mixing" else docs.columns)
+    left = out.collect()
+    assert len(left) == (0 if name == "quality" else 5)
+    assert all(r[c] == 7 for r in left for c in made)

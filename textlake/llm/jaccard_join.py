@@ -341,8 +341,16 @@ def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFram
 
     The row with the smallest ``doc_id`` stays; of rows equal in ``doc_id`` and text, one. Rows without
     ``doc_id`` count as the last of their group; texts without words are near copies of nothing.
-    Where different texts share a ``doc_id``, each is judged by its own text.
+    Where different texts share a ``doc_id``, each is judged by its own text. Other columns may have any name.
     """
+    columns = documents.columns
+    # Columns by place, so that no name of the caller's meets one of those made here.
+    rest = iter(range(len(columns)))
+    names = [c if c.lower() in ("doc_id", "text") else f"column{next(rest)}" for c in columns]
+    return _one_of_each(documents.toDF(*names), size, percent).toDF(*columns)
+
+
+def _one_of_each(documents: DataFrame, size: int, percent: int) -> DataFrame:
     scratch = Scratch(documents.sparkSession, "one-of-each")
     last = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62))
     number = F.coalesce(F.col("doc_id").cast("bigint"), last)

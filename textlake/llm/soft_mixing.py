@@ -311,7 +311,10 @@ def document_rates(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with a copy or more, all their columns and ``rate`` and ``copies``."""
+    """The documents with a copy or more, all their columns, ``mix_rate`` and ``mix_copies``.
+
+    Columns that already have these two names, as in this function's own output, are replaced.
+    """
     chosen = mix(documents, labels).where("copies > 0")
-    own = [f"row.`{c}`" for c in documents.columns]
+    own = [f"row.`{c}`" for c in documents.columns if c.lower() not in ("mix_rate", "mix_copies")]
     return chosen.select(*own, F.col("rate").alias("mix_rate"), F.col("copies").alias("mix_copies"))

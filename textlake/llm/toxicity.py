@@ -29,11 +29,11 @@ from textlake.llm.words import Slice, Words, prefix_hash, signed, slices, stretc
 # Labelled rows that are learned from, about so many at most.
 SAMPLE_ROWS = 30_000
 # A learned insult stands in as many toxic texts and in this share of them (words of a few
-# copied texts do not), and its log odds are so much higher there.
+# copied texts do not), and its log odds are so much higher there. So there are at most
+# 1 / MIN_SHARE times as many of them as a toxic text of the sample has distinct words on average.
 MIN_TEXTS = 5
 MIN_SHARE = 0.005
 MIN_LOG_ODDS = 3.0
-MAX_INSULTS = 20_000
 # Bytes of a word's beginning that are learned like a word, in longer words.
 STEM = 5
 
@@ -297,8 +297,6 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, rows: int = S
     learned = (
         counts.withColumn("odds", odds)
         .where((F.col("a") >= max(MIN_TEXTS, MIN_SHARE * n_toxic)) & (F.col("odds") >= MIN_LOG_ODDS))
-        .orderBy(F.desc("odds"), "word")
-        .limit(MAX_INSULTS)
         .collect()
     )
     lexicon: dict[int, tuple[int, float]] = {}
