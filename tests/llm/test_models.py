@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from types import SimpleNamespace
-
 import math
 import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -327,6 +326,6 @@ def test_mixing_odd_rows(spark):
 def test_words_too_unlikely_for_a_double_keep_their_score():
     read = SimpleNamespace(found=SimpleNamespace(first=np.array([0, 2])), back=np.array([0, 1]))
     logs = np.array([-2.0, -900.0, -1.0])
-    got = attention_lm.mixed_scores(read, SimpleNamespace(ends=5, n=100), logs, np.array([0.1, 0.0]))
+    got = lm.mixed_scores(read, SimpleNamespace(ends=5, n=100), logs, np.array([0.1, 0.0]))
     half = np.log10(0.5)
     assert np.allclose(got, [half + np.log10(0.11) + half - 900 + half + np.log10(0.15)])
