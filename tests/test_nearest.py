@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from textlake.operators.nearest import nearest, relevant
+from textlake.operators.nearest import _Held, nearest, relevant
 
 MANY = {"block_bytes": 2000}
 
@@ -118,3 +121,62 @@ def test_arguments_are_checked(spark):
 def test_relevant_keeps_the_threshold_itself(spark):
     hits = spark.createDataFrame([(1.2,), (1.2001,), (0.0,)], "distance double")
     assert sorted(r["distance"] for r in relevant(hits).collect()) == [0.0, 1.2]
+
+
+def test_jobs_do_not_grow_with_the_queries(spark):
+    rng = np.random.default_rng(2)
+    corpus = rng.integers(1, 4, (300, 5)).astype(float)
+    queries, held = vectors(spark, "query_id", range(300), corpus), vectors(spark, "doc_id", range(300), corpus)
+    counts = []
+    for n in (60, 300):
+        spark.sparkContext.setJobGroup(f"nearest-{n}", "nearest")
+        assert nearest(queries.where(f"query_id < {n}"), held, 3, block_bytes=200).count() == 3 * n
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"nearest-{n}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0] == counts[1] < 12
+
+
+def test_hits_are_searched_once(spark):
+    rng = np.random.default_rng(3)
+    corpus = rng.integers(1, 4, (50, 5)).astype(float)
+    found = nearest(vectors(spark, "query_id", range(50), corpus), vectors(spark, "doc_id", range(50), corpus))
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+
+
+def test_many_equal_distances_need_little_memory():
+    rng = np.random.default_rng(4)
+    points = rng.standard_normal((2000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    held = _Held(pa.array(range(2000)), points, 3, "sq_l2", False)
+    tracemalloc.start()
+    hits = sum(batch.num_rows for batch in held.best(pa.array(range(1500)), np.zeros((1500, 64))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits == 4500
+    assert peak < 400e6
+
+
+@pytest.mark.parametrize("scale, offset", [(1.0, 0.0), (1e-30, 0.0), (1e30, 0.0), (1.0, 1e6)])
+@pytest.mark.parametrize("n", [3, 40, 3000])
+def test_vectors_of_any_size(scale, offset, n):
+    rng = np.random.default_rng(5)
+    points = rng.standard_normal((n, 8)) * scale + offset
+    asked = np.concatenate([points[:20], rng.standard_normal((20, 8)) * 3 * scale + offset])
+    held = _Held(pa.array(range(n)), points, 4, "sq_l2", True)
+    ids = pa.array([*range(len(asked) - 20), *range(-20, 0)])
+    got = pa.Table.from_batches(list(held.best(ids, asked))).to_pylist()
+    wanted = []
+    for own, q in zip(ids.to_pylist(), asked, strict=True):
+        distance = ((q - points) ** 2).sum(axis=1)
+        order = [i for i in np.lexsort((np.arange(n), distance)) if i != own][:4]
+        wanted += [(own, int(i), distance[i]) for i in order]
+    assert [(r["query_id"], r["doc_id"], r["distance"]) for r in got] == wanted
+
+
+@pytest.mark.parametrize("options", [{}, MANY], ids=["scan", "pieces"])
+def test_ids_that_are_missing_or_repeated(spark, options):
+    rows = [(None, [0.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0])]
+    corpus = spark.createDataFrame(rows, "doc_id bigint, embedding array<float>")
+    queries = corpus.withColumnRenamed("doc_id", "query_id").where("query_id = 1").limit(1)
+    got = nearest(queries, corpus, 3, skip_same_id=True, **options)
+    assert [(r["doc_id"], r["distance"]) for r in got.orderBy("rank").collect()] == [(2, 0.0), (3, 0.0), (None, 1.0)]
