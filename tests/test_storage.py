@@ -255,3 +255,26 @@ def test_json_array_outcomes(spark, tmp_path):
     states = {f: (n, b, s) for _, f, n, b, s in outcomes(readers.json_array_outcomes(spark, f"{tmp_path}/*.json"))}
     assert states == {"a.json": (2, 0, "read"), "b.json": (0, 1, "broken"), "c.json": (0, 0, "empty")}
     assert outcomes(readers.json_array_outcomes(spark, f"{tmp_path}/none"))[0][-1] == "missing"
+
+
+def test_documents_are_files_in_few_tasks(spark, tmp_path):
+    rows = [("en", f"text {n}") for n in range(2100)]
+    rows += [("en", "a\nb\n"), ("en", ""), ("en", None), (None, "é"), ("", "x"), ("zh-CN", "新"), ("a/b", "y"), ("..", "z")]
+    documents = spark.createDataFrame(rows, "lang string, text string").repartition(3, "text")
+    assert writers.write_documents(documents, str(tmp_path / "texts"), "lang") == len(rows)
+    read = readers.read_documents(spark, str(tmp_path / "texts"), "*.txt").collect()
+    assert sorted(r["text"] for r in read) == sorted((text or "") + "\n" for _, text in rows)
+    english = [r for r in read if "/lang=en/" in r["doc_id"]]
+    assert len(english) == 2103 and len({r["doc_id"] for r in read}) == len(rows)
+    assert not list((tmp_path / "texts").rglob("_temporary"))
+
+
+def test_the_folder_scan_reads_many_small_files_in_a_task(spark, tmp_path):
+    from textlake.plans.files import document_dir_scan
+
+    rows = [(n, "en", f"text {n}") for n in range(600)]
+    spark.createDataFrame(rows, "doc_id bigint, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = document_dir_scan(spark, str(tmp_path))
+    # 32 files to a task would make 19 of them.
+    assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, found.collect())) == sorted((lang, f"{text}\n") for _, lang, text in rows)

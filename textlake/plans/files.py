@@ -16,6 +16,8 @@ from textlake.sources import readers, writers
 # News files hold about this many items each.
 ITEMS_PER_FILE = 500
 LANDING_DAY = "2026-09-12"
+# Small files that a task reads: Spark alone would give it 32, and a task costs more than those.
+FILES_PER_TASK = 1000
 
 
 def csv_scan_strings(spark, folder):
@@ -104,10 +106,9 @@ def document_dir_scan(spark, folder):
     """A folder tree with one file per document."""
     path = work_path(spark, "texts")
     documents = table(spark, folder, "documents").select("doc_id", "lang", "text")
-    documents.repartition(spark.sparkContext.defaultParallelism, "doc_id").select(
-        "lang", "text"
-    ).write.partitionBy("lang").option("maxRecordsPerFile", 1).text(path)
-    read = readers.read_documents(spark, path, "*.txt")
+    tasks = spark.sparkContext.defaultParallelism
+    files = writers.write_documents(documents.repartition(tasks, "doc_id"), path, "lang")
+    read = readers.read_documents(spark, path, "*.txt").coalesce(max(tasks, math.ceil(files / FILES_PER_TASK)))
     return read.select(F.regexp_extract("doc_id", "lang=([a-z]+)/", 1).alias("lang"), "text")
 
 

@@ -191,12 +191,16 @@ def json_array_outcomes(spark: SparkSession, path: str, schema: T.StructType = N
 
 
 def read_documents(spark: SparkSession, directory: str, pattern: str = "*.md") -> DataFrame:
-    """One row per file below a directory: its path and its whole text."""
+    """One row per file below a directory: its path and its whole text.
+
+    Files are read as bytes: the text reader copies all settings of Hadoop for each of them.
+    """
     return (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .text(directory, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
+        .format("binaryFile")
+        .load(directory)
+        .select(F.col("_metadata.file_path").alias("doc_id"), F.col("content").cast("string").alias("text"))
     )
 
 

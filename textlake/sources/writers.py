@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +50,38 @@ def land_json(items: DataFrame, path: str, date: str | None = None) -> None:
     )
 
 
+def write_documents(documents: DataFrame, path: str, folder: str, suffix: str = ".txt") -> int:
+    """Each ``text`` as a file of its own below ``<folder>=…``, by the value of that column; how many there are.
+
+    A line break ends every file. Tasks write the files where they stay: no committer moves them one after another, which
+    for small files takes longer than to write them. A task that runs again writes the same names, so the rows of a
+    partition are sorted. ``path`` is a new folder that ``pyarrow.fs`` can open.
+    """
+    rows = documents.select(
+        F.coalesce(F.col(folder).cast("string"), F.lit("")).alias("at"), F.coalesce("text", F.lit("")).alias("text")
+    )
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        files, root = fs.FileSystem.from_uri(path)
+        task, made, count = TaskContext.get().partitionId(), set(), 0
+        for batch in batches:
+            for at, text in zip(batch.column("at").to_pylist(), pc.cast(batch.column("text"), pa.binary()), strict=True):
+                below = f"{root}/{folder}={quote(at, safe='') or '__none__'}"
+                if below not in made:
+                    files.create_dir(below)
+                    made.add(below)
+                with files.open_output_stream(f"{below}/part-{task:05}-{count:08}{suffix}") as out:
+                    out.write(text.as_buffer())
+                    out.write(b"\n")
+                count += 1
+        yield pa.RecordBatch.from_pydict({"files": [count]})
+
+    written = rows.sortWithinPartitions("at", "text").mapInArrow(write, "files bigint")
+    return written.agg(F.coalesce(F.sum("files"), F.lit(0)).alias("files")).first()["files"]
+
+
 def create_if_missing(df_like: DataFrame, path: str) -> None:
     """Make sure a Parquet table with these columns exists at a path, if only an empty one."""
     df_like.limit(0).write.mode("ignore").parquet(path)
