@@ -67,17 +67,12 @@ def embed_text(
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = load()
         for batch in batches:
-            texts = batch.to_pandas().to_numpy()
-            vectors = [
-                unit_length(encode(texts[at : at + batch_size])).astype(np.float32)
-                for at in range(0, len(texts), batch_size)
-            ]
-            ends = np.cumsum([0] + [part.shape[1] for part in vectors for _ in part])
-            flat = np.concatenate([part.ravel() for part in vectors] or [np.empty(0, np.float32)])
-            none = np.concatenate([~part.any(axis=1) for part in vectors] or [np.empty(0, bool)])
-            yield pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(flat), mask=pa.array(none)
-            )
+            # Vectors leave as they are made: a batch of them would be many times its texts.
+            for at in range(0, max(1, len(batch)), batch_size):
+                texts = batch.slice(at, batch_size).to_pandas().to_numpy()
+                part = unit_length(encode(texts)).astype(np.float32) if len(texts) else np.empty((0, 0), np.float32)
+                ends = np.arange(len(part) + 1, dtype=np.int32) * part.shape[1]
+                yield pa.ListArray.from_arrays(pa.array(ends), pa.array(part.ravel()), mask=pa.array(~part.any(axis=1)))
 
     vector = F.arrow_udf(embed, "array<float>")
     return df.withColumn("embedding", vector(F.coalesce(F.col(text), F.lit(""))))
