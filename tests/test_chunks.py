@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -137,3 +138,28 @@ def test_documents_equal_plain_split(spark, folder):
         for doc_id, text in texts.items()
         if (chunks := plain_split(text, 500, 50))
     }
+
+
+def test_texts_are_split_in_pieces():
+    import pyarrow as pa
+
+    from textlake.operators.chunking import slices
+
+    texts = pa.array(["x" * 600] * 10 + [None, "", "y" * 5000, "z"])
+    pieces = list(slices(texts, 1000))
+    assert pa.concat_arrays(pieces).equals(texts)
+    assert max(len(piece) for piece in pieces[:5]) <= 2
+    assert [len(piece) for piece in slices(texts.slice(0, 0), 1000)] == [0]
+
+
+def test_vectors_leave_in_pieces(spark):
+    from textlake.operators.embedding import embed_text, hashed_words
+
+    texts = [f"word{n} word" if n % 5 else (None if n % 2 else " ") for n in range(3000)]
+    encode = hashed_words()()
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)
+    got = {r["n"]: r["embedding"] for r in embed_text(rows, batch_size=64).collect()}
+    assert [n for n, v in sorted(got.items()) if v is None] == list(range(0, 3000, 5))
+    for n in (1, 63, 64, 2049, 2999):
+        counts = encode(np.array([texts[n]], dtype=object))[0]
+        assert np.allclose(got[n], counts / np.linalg.norm(counts))
