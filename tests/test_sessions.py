@@ -79,3 +79,17 @@ def test_drop_sessions(spark, messages):
         (1, "deleted"),
         (9, "not_found"),
     }
+
+
+def test_last_questions_are_worked_out_once(spark):
+    from textlake.plans.chat import LONG_PART, fixed, sessions
+
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (2, 0, "system", "d"), (None, 0, "user", "e")]
+    messages = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    questions = sessions.latest_questions(messages)
+    assert sorted(map(tuple, questions.collect()), key=str) == [(1, 2, "c"), (None, 0, "e")]
+    prompts = sessions.prompt_parts(
+        questions, sessions.messages_before(messages, questions), LONG_PART, template=fixed.REWRITE_PROMPT
+    )
+    # Each of these sorted the texts again, eight times in one task.
+    assert "SortAggregate" not in prompts._jdf.queryExecution().executedPlan().toString()

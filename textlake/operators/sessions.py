@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from textlake.functions import text as tx
 from textlake.functions.fixed_values import CHAT_PROMPT
 from textlake.operators.merge import not_in
+from textlake.session import work_path
+from textlake.sources.writers import round_trip
 
 def _part(turn: Column, part_turns: int) -> Column:
     return F.floor(turn / part_turns).cast("bigint")
@@ -49,12 +51,16 @@ def history_parts(messages: DataFrame, part_turns: int) -> DataFrame:
 
 
 def latest_questions(messages: DataFrame) -> DataFrame:
-    """The last user message of each conversation: ``conv_id, turn, question``."""
-    return (
+    """The last user message of each conversation: ``conv_id, turn, question``.
+
+    They are stored: a prompt asks for them several times, and each time would sort the texts again in the same task.
+    """
+    found = (
         messages.where("role = 'user'")
         .groupBy("conv_id")
         .agg(F.max("turn").alias("turn"), F.max_by("text", "turn").alias("question"))
     )
+    return round_trip(found, work_path(messages.sparkSession, "questions"))
 
 
 def messages_before(messages: DataFrame, questions: DataFrame) -> DataFrame:
