@@ -7,12 +7,14 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from textlake.llm import attention_lm as lm
@@ -210,6 +212,24 @@ def test_learned_from_labels(spark):
     assert np.array_equal(again.hashes, model.hashes) and again.slope == model.slope
 
 
+def test_functions_travel_without_tables(spark):
+    toxicity.word_hash("idiot")  # what the driver hashes stays there
+    sent = cloudpickle.dumps(toxicity.score_texts)
+    assert len(sent) < 1_000_000
+    model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0), -2.0, 1.0)
+    score = cloudpickle.loads(sent)
+    assert score(pa.array(["you idiot", None]), model).tolist() == [1 / (1 + math.exp(2))] * 2
+
+
+def test_learning_leaves_no_texts_behind(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(toxicity, "Scratch", lambda *a: made.append(Scratch(*a)) or made[-1])
+    docs = spark.createDataFrame([(1, "you idiot"), (2, "fine")], "doc_id long, text string")
+    for labels in ([(1, 1), (2, 0)], [(1, 1), (2, 1)]):
+        toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    assert len(made) == 2 and not [f for s in made for f in Path(s.root.split(":", 1)[-1]).rglob("*.parquet")]
+
+
 def test_toxicity_on_odd_rows(spark):
     rows = [(1, None), (None, ""), (3, "idiot you moron, " * 30_000), (4, "!!! ... ,"), (5, "you idiot"), (5, "you idiot")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS toxic", "'a' AS score")

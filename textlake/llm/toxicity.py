@@ -315,6 +315,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, rows: int = S
     )
     if not n_toxic or not n_plain:  # nothing to fit: the grammar's own scale
         model.bias, model.slope = -2.0, 1.0
+        scratch.drop(sample)
         return model
 
     def totals(batches):
@@ -327,6 +328,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, rows: int = S
 
     fitted = sample.mapInArrow(totals, "toxic int, total double").toPandas()  # SAMPLE_ROWS at most
     model.bias, model.slope = _logistic(fitted["total"].to_numpy(), fitted["toxic"].to_numpy(float))
+    scratch.drop(sample)
     return model
 
 
