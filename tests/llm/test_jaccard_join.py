@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from textlake.llm import jaccard_join, registry
 from textlake.llm.components import components
-from textlake.llm.storage import Scratch
+from textlake.llm.storage import FREE_SHUFFLES, Scratch
 from textlake.llm.words import run_hash, shingles, slices, words
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
@@ -150,3 +152,39 @@ def test_shingles_of_slices_with_few_words(size):
                 count = len(text.split())
                 runs = [parts[i : i + size] for i in range(max(count - size + 1, min(count, 1)))]
                 assert own == [run_hash(r) for r in runs]
+
+
+def test_stored_tables_leave_no_shuffles(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {b for b in blocks.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(FREE_SHUFFLES)
+    rows = spark.range(10_000).groupBy((F.col("id") % 1000).alias("key")).count()
+    kept = Scratch(spark, "shuffles").keep(rows, "counts")
+    for _ in range(50):  # the files go in the background
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and kept.count() == 1000 and spark.conf.get(FREE_SHUFFLES) == setting
+
+
+def test_sets_are_read_again_only_as_far_as_needed(spark, monkeypatch):
+    draw = random.Random(5)
+    common = " ".join(f"c{i}" for i in range(60))
+    texts = [common + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(140)) for _ in range(60)]
+    texts += [t.rsplit(" ", 3)[0] + " x y z" for t in texts[:20]]
+    far = []
+    plain = jaccard_join._set_rows
+
+    def seen(documents, size, percent, whole, times=1):
+        far.append("whole" if whole else times)
+        return plain(documents, size, percent, whole, times)
+
+    monkeypatch.setattr(jaccard_join, "_set_rows", seen)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_copies(docs, size=3, percent=90).collect()}
+    assert got == {i: i if i < 60 else i - 60 for i in range(80)}
+    assert jaccard_join.DEEPER in far

@@ -18,7 +18,8 @@ How large groups are kept from meeting in all pairs, without losing a link betwe
   become rows or their sets are moved; that loses no link.
 
 A set whose first shingles are mostly hot needs more of them than were written at first; only such
-sets are read again whole, and what is hot is counted anew. Sets are divided by size, so that only sizes that can match meet.
+sets are read again, ``DEEPER`` times as far and, where that does not suffice, whole. What is hot is then counted anew, unless
+few were read again. Sets are divided by size, so that only sizes that can match meet.
 """
 
 from __future__ import annotations
@@ -40,6 +41,9 @@ from textlake.operators.merge import fits_broadcast
 HOT = 32
 # Shingles written beyond those that a set without hot ones needs, and how often hot ones are counted.
 SPARE, TURNS = 8, 3
+# How many times as much of a set is written when it is read again for the first time, and
+# which part of the sets read again must be new for hot shingles to be counted anew.
+DEEPER, FEW_NEW = 3, 0.1
 # Further shared shingles that a set may ask for, at most.
 EXTRA = 3
 # Words of 64 bits in a set's bit map.
@@ -73,8 +77,11 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
-def _set_rows(documents: DataFrame, size: int, percent: int, whole: bool) -> DataFrame:
-    """``doc_id, n_shingles, digest, tokens, bits``: the whole set, or its beginning in hash order."""
+def _set_rows(documents: DataFrame, size: int, percent: int, whole: bool, times: int = 1) -> DataFrame:
+    """``doc_id, n_shingles, digest, tokens, bits``: the whole set, or its beginning in hash order.
+
+    The beginning suffices for ``times`` the longest prefix, and a few more.
+    """
 
     def run(batches):
         for batch in batches:
@@ -82,7 +89,7 @@ def _set_rows(documents: DataFrame, size: int, percent: int, whole: bool) -> Dat
             for own in _sets(batch.column("text"), size):
                 n = len(own)
                 first = _first_length(n, percent)
-                written = n if whole else min(n, first + EXTRA + SPARE)
+                written = n if whole else min(n, times * (first + EXTRA) + SPARE)
                 counts.append(n)
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()))
                 tokens.append(own[:written])
@@ -110,12 +117,14 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
-def _whole_sets(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """``node, n_shingles, tokens`` with the whole sets of ``nodes`` (``node, digest, doc_id``)."""
+def _sets_again(
+    documents: DataFrame, nodes: DataFrame, size: int, percent: int, times: int | None = None
+) -> DataFrame:
+    """``node, n_shingles, tokens`` with the sets of ``nodes`` (``node, digest, doc_id``), whole or ``times`` as far."""
     ids = nodes.select(F.col("doc_id").alias("_doc_id")).distinct()
     texts = documents.join(_few(ids), F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
-    rows = _set_rows(texts, size, percent, whole=True).select("digest", "n_shingles", "tokens")
-    return rows.join(nodes.select("node", "digest"), "digest").dropDuplicates(["node"])
+    rows = _set_rows(texts, size, percent, whole=times is None, times=times or 1).select("digest", "n_shingles", "tokens")
+    return rows.join(_few(nodes.select("node", "digest")), "digest").dropDuplicates(["node"])
 
 
 def _near_bits(percent: int) -> Column:
@@ -159,29 +168,39 @@ def _prefixes(documents: DataFrame, nodes: DataFrame, size: int, percent: int, s
     """``node, n_shingles, prefix``: the first shingles of every node in the global order.
 
     Which shingles are hot is counted on what the nodes have written. A node whose other shingles
-    do not suffice is read again whole; as that shows more of the shingles, they are
-    counted anew, ``TURNS`` times at most. All prefixes follow the last count.
+    do not suffice is read again, deeper and then whole; as that shows more of the shingles, they are
+    counted anew, ``TURNS`` times at most. All prefixes follow the last count: by it, each node is whole or
+    has other shingles enough.
     """
     n = F.col("n_shingles")
     length = F.least(n - F.ceil(n * percent / 100) + 1 + EXTRA, n).cast("int")
     rest = nodes.select("node", "digest", "doc_id", "n_shingles", "tokens", length.alias("length"))
-    whole = scratch.keep(rest.limit(0), "whole")
+    again = scratch.keep(rest.limit(0), "again")
     hot = None
-    for _ in range(TURNS):
-        counts = _written(rest).unionByName(_written(whole)).groupBy("token").agg(F.count("*").alias("df"))
+    for turn in range(TURNS):
+        counts = _written(rest).unionByName(_written(again)).groupBy("token").agg(F.count("*").alias("df"))
+        if hot is not None:
+            scratch.drop(hot)
         hot = scratch.keep(counts.where(F.col("df") > HOT).select("token"), "hot")
-        enough = (F.size("cold") >= F.col("length")) | (F.size("tokens") == n)
-        short = _arranged(rest, hot).where(~enough).select("node", "digest", "doc_id", "length")
+        open_ = rest.unionByName(again).where(F.size("tokens") < n)
+        short = _arranged(open_, hot).where(F.size("cold") < F.col("length")).select("node", "digest", "doc_id", "length")
         short = scratch.keep(short, "short")
-        if short.isEmpty():
+        new = short.count()
+        if not new:
+            break
+        found = _sets_again(documents, short, size, percent, DEEPER if turn == 0 else None)
+        found = found.drop("digest").join(_few(short), "node").select(*rest.columns)
+        others = again.join(_few(short.select("node")), "node", "left_anti").select(*rest.columns)
+        read = scratch.keep(found.unionByName(others), "again")
+        scratch.drop(again)
+        again = read
+        rest = rest.join(_few(short.select("node")), "node", "left_anti").select(*rest.columns)
+        if turn and new < FEW_NEW * again.count():
             break
-        found = _whole_sets(documents, short, size, percent).drop("digest").join(short, "node")
-        whole = scratch.keep(found.select(*rest.columns).unionByName(whole), "whole")
-        rest = rest.join(_few(short.select("node")), "node", "left_anti")
-    every = _arranged(rest.unionByName(whole), hot)
+    every = _arranged(rest.unionByName(again), hot)
     prefix = F.slice(F.concat("cold", "warm"), F.lit(1), F.col("length")).alias("prefix")
     prefixes = scratch.keep(every.select("node", "n_shingles", prefix), "prefixes")
-    scratch.drop(whole)
+    scratch.drop(again, hot)
     return prefixes
 
 
@@ -201,7 +220,9 @@ def _postings(prefixes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
         "token", "node", "n_shingles", "e", bucket.cast("int").alias("bucket")
     )
     rows = rows.select("*", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("band"))
-    return scratch.keep(rows, "postings")
+    rows = scratch.keep(rows, "postings")
+    scratch.drop(shared)
+    return rows
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int, percent: int, scratch: Scratch):
@@ -214,7 +235,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int
     pairs = scratch.keep(pairs.where(_near_bits(percent)).select("u", "v"), "candidates")
     ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     wanted = nodes.select("node", "digest", "doc_id").join(ends, "node", "left_semi")
-    sets = scratch.keep(_whole_sets(documents, wanted, size, percent), "sets")
+    sets = scratch.keep(_sets_again(documents, wanted, size, percent), "sets")
     one = sets.select(F.col("node").alias("u"), F.col("tokens").alias("a"))
     two = sets.select(F.col("node").alias("v"), F.col("tokens").alias("b"))
     met = pairs.join(one, "u").join(two, "v")
@@ -251,7 +272,7 @@ def _as(rows: DataFrame, side: str, *more) -> DataFrame:
 def _links(documents: DataFrame, nodes: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links ``u, v`` between nodes: all that are needed for the components, and no wrong one."""
     prefixes = _prefixes(documents, nodes, size, percent, scratch)
-    rows = _postings(prefixes, percent, scratch)
+    postings = rows = _postings(prefixes, percent, scratch)
     scratch.drop(prefixes)
     canonical = F.col("band") == F.least("bucket_u", "bucket_v")
 
@@ -270,14 +291,17 @@ def _links(documents: DataFrame, nodes: DataFrame, size: int, percent: int, scra
     )
     lists = rows.groupBy("token", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = lists.where("lo < hi").select("token", "band")
-    rows = rows.join(_few(scratch.keep(mixed, "mixed")), ["token", "band"])
+    mixed = scratch.keep(mixed, "mixed")
+    rows = rows.join(_few(mixed), ["token", "band"])
     rows = scratch.keep(rows.join(nodes.select("node", "bits"), "node"), "across")
+    scratch.drop(postings, mixed)
     one = _as(rows, "u", "component", F.col("bits").alias("bits_u")).withColumnRenamed("component", "cu")
     two = _as(rows, "v", "component", F.col("bits").alias("bits_v")).withColumnRenamed("component", "cv")
     both = one.join(two, ["token", "band"]).where(
         (F.col("cu") < F.col("cv")) & canonical & _near_bits(percent)
     )
     second = _similar(_candidates(both, percent), nodes, documents, size, percent, scratch)
+    scratch.drop(rows)
     return first.unionByName(second)
 
 
