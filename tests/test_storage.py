@@ -167,6 +167,28 @@ def test_update_embeds_only_what_changed(spark, tmp_path):
     assert len(run(b="bbbbb")[0]) == 3
 
 
+def test_update_embeds_each_chunk_once(spark, tmp_path):
+    path, log = str(tmp_path / "vectors"), str(tmp_path / "log")
+
+    def load():
+        def encode(texts):
+            with open(log, "a") as file:
+                file.writelines(f"{t}\n" for t in texts)
+            return np.ones((len(texts), 3))
+
+        return encode
+
+    def run(rows):
+        open(log, "w").close()
+        update_vectors(spark.createDataFrame(rows, "doc_id string, text string"), path, 500, 50, load)
+        return sorted(open(log).read().splitlines())
+
+    run([("same", "same"), ("old", "old")])
+    assert run([("same", "same"), ("old", "changed"), ("new", "new"), (None, "lost")]) == ["changed", "lost", "new"]
+    rows = sorted((r["id"], r["text"]) for r in spark.read.parquet(path).collect())
+    assert rows == [("0", "lost"), ("new#0", "new"), ("old#0", "changed"), ("same#0", "same")]
+
+
 def land(spark, path, day, *links):
     items = [{**ITEM, "link": link, "title": "" if link == "blank" else "a win"} for link in links]
     writers.land_json(readers.from_records(spark, items), path, day)

@@ -68,17 +68,15 @@ def update_vectors(
     todo = round_trip(not_in(marked, known, ["doc_id", "doc_hash"]), f"{work}/changed")
     old = known.join(few(todo.select("doc_id")), "doc_id", "left_semi").select("doc_id").distinct()
     old = round_trip(old, f"{work}/replaced")
-    rows = vector_rows(todo, size, overlap, load_encoder).select(*table.columns)
-    fresh = not_in(rows, old, ["doc_id"])
+    # Documents are told apart before anything is embedded, so each chunk is embedded once.
+    fresh = vector_rows(not_in(todo, old, ["doc_id"]), size, overlap, load_encoder).select(*table.columns)
     fresh.write.mode("append").partitionBy("bucket").parquet(path)
     if old.isEmpty():
         remove_path(spark, work)
         return
-    changed = rows.join(few(old), "doc_id", "left_semi")
-    parts = [
-        r["bucket"]
-        for r in todo.join(few(old), "doc_id", "left_semi").select("bucket").distinct().collect()
-    ]
+    replaced = todo.join(few(old), "doc_id", "left_semi")
+    changed = vector_rows(replaced, size, overlap, load_encoder).select(*table.columns)
+    parts = [r["bucket"] for r in replaced.select("bucket").distinct().collect()]
     kept = not_in(spark.read.parquet(path).where(F.col("bucket").isin(parts)), old, ["doc_id"])
     staged = round_trip(kept.select(*table.columns).unionByName(changed), f"{work}/parts")
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
