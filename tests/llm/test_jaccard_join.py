@@ -188,3 +188,31 @@ def test_sets_are_read_again_only_as_far_as_needed(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in jaccard_join.near_copies(docs, size=3, percent=90).collect()}
     assert got == {i: i if i < 60 else i - 60 for i in range(80)}
     assert jaccard_join.DEEPER in far
+
+
+@pytest.mark.parametrize("told", [64, 1])
+def test_a_pair_of_a_large_group_comes_once(spark, monkeypatch, told):
+    # Some copies are changed little and many a lot: few links, no one text that reaches all.
+    draw = random.Random(6)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        own = list(base)
+        for at in draw.sample(range(120), draw.choice([1, 2, 3, 4])):
+            own[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(own)))
+    met, plain = [], jaccard_join._candidates
+
+    def seen(pairs, percent):
+        met.append((pairs.count(), pairs.select("u", "v").distinct().count()))
+        return plain(pairs, percent)
+
+    monkeypatch.setattr(jaccard_join, "_candidates", seen)
+    monkeypatch.setattr(jaccard_join, "TOLD", told, raising=False)
+    monkeypatch.setattr(jaccard_join, "CLOSE", 0, raising=False)
+    same(spark, rows, 3, 90)
+    last, pairs = met[-1]
+    assert last >= pairs
+    if told > 1:
+        # Every pair by its own row; before, one for each list that both are in.
+        assert len(met) == 3 and last == pairs

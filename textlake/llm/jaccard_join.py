@@ -11,8 +11,9 @@ How large groups are kept from meeting in all pairs, without losing a link betwe
 
 * Equal sets are one node from the start.
 * In each list of a shingle, the sets first meet only the least of them (a star).
-* After the components of these links are known, a list gives pairs only across different
-  components. Lists that lie in one component give none.
+* A list that would still give many pairs across the components of these links meets a few more of its sets,
+  and a pair that several such lists have comes from the first of them only.
+* After that, a list gives pairs only across different components. Lists that lie in one component give none.
 * Each set has a bit map in which every shingle turns one bit over. Two sets differ in at least as
   many shingles as their maps differ in bits, so most pairs are refused (``_near_bits``) before they
   become rows or their sets are moved; that loses no link.
@@ -46,6 +47,11 @@ SPARE, TURNS = 8, 3
 DEEPER, FEW_NEW = 3, 0.1
 # Further shared shingles that a set may ask for, at most.
 EXTRA = 3
+# How often, and how many of its sets at a time, a long list meets before its pairs are made; pairs across
+# components for each entry that make a list long.
+STARS, HUBS, CLOSE = 1, 16, 8
+# Long lists that an entry names, at most.
+TOLD = 64
 # Words of 64 bits in a set's bit map.
 BIT_WORDS = 16
 # Verifying a pair against merging one entry of a list; each further shared shingle is
@@ -249,10 +255,11 @@ def _similar(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int
 
 
 def _candidates(met: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share enough, from rows ``u, v, n_u, n_v, e_u, e_v``, one per shared shingle."""
+    """Pairs that share enough, from rows ``u, v, n_u, n_v, e_u, e_v``, one per shared shingle, or per ``lists`` of them."""
+    lists = F.sum("lists") if "lists" in met.columns else F.count("*")
     sized = met.where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
     counted = sized.groupBy("u", "v").agg(
-        F.count("*").alias("shared"), F.first(F.least("e_u", "e_v")).alias("e")
+        lists.alias("shared"), F.first(F.least("e_u", "e_v")).alias("e")
     )
     return counted.where(F.col("shared") > F.col("e")).select("u", "v")
 
@@ -282,27 +289,97 @@ def _links(documents: DataFrame, nodes: DataFrame, size: int, percent: int, scra
     )
     hubs = hubs.where("n > 1").select("token", "band", "hub.*")
     stars = _as(rows, "v").join(_as(hubs, "u"), ["token", "band"]).where(canonical & (F.col("u") < F.col("v")))
-    first = _similar(_candidates(stars, percent), nodes, documents, size, percent, scratch)
+    links = _similar(_candidates(stars, percent), nodes, documents, size, percent, scratch)
+
+    # Lists that would still give many pairs meet more of their sets first, of other components.
+    for turn in range(STARS + 1):
+        parts = scratch.keep(components(links, scratch), "parts")
+        across, heavy = _across(postings, parts, scratch)
+        if turn == STARS or heavy.isEmpty():
+            break
+        long = across.join(_few(heavy), ["token", "band"]).join(nodes.select("node", "bits"), "node")
+        long = scratch.keep(long, "long")
+        met = _stars(long, scratch).where(canonical & (F.col("cu") != F.col("cv")) & _near_bits(percent))
+        pairs = _candidates(met, percent).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        found = _similar(pairs.distinct(), nodes, documents, size, percent, scratch)
+        links = _edges(parts).unionByName(found)
+        scratch.drop(across, heavy, long)
+    scratch.drop(postings)
 
     # What is left: pairs across the components known so far.
-    parts = scratch.keep(components(first, scratch), "parts")
-    rows = rows.join(_few(parts), "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+    rows = across.join(nodes.select("node", "bits"), "node")
+    rows = scratch.keep(_with_heavy(rows, across, heavy, scratch), "across-bits")
+    scratch.drop(across, heavy)
+    one, two = (
+        _as(rows, side, *(F.col(name).alias(f"{name}_{side}") for name in ("component", "bits", "heavy")))
+        for side in "uv"
     )
-    lists = rows.groupBy("token", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = lists.where("lo < hi").select("token", "band")
-    mixed = scratch.keep(mixed, "mixed")
-    rows = rows.join(_few(mixed), ["token", "band"])
-    rows = scratch.keep(rows.join(nodes.select("node", "bits"), "node"), "across")
-    scratch.drop(postings, mixed)
-    one = _as(rows, "u", "component", F.col("bits").alias("bits_u")).withColumnRenamed("component", "cu")
-    two = _as(rows, "v", "component", F.col("bits").alias("bits_v")).withColumnRenamed("component", "cv")
+    # The lists in which both stand are told from either's row: the first of them gives the pair for all.
+    shared = F.array_intersect("heavy_u", "heavy_v")
+    told = F.col("heavy_u").isNotNull() & F.col("heavy_v").isNotNull()
     both = one.join(two, ["token", "band"]).where(
-        (F.col("cu") < F.col("cv")) & canonical & _near_bits(percent)
+        (F.col("component_u") < F.col("component_v"))
+        & canonical
+        & _near_bits(percent)
+        & (~told | (F.array_min(shared) == F.col("token")))
     )
-    second = _similar(_candidates(both, percent), nodes, documents, size, percent, scratch)
+    both = both.withColumn("lists", F.when(told, F.size(shared)).otherwise(1))
+    last = _similar(_candidates(both, percent), nodes, documents, size, percent, scratch)
     scratch.drop(rows)
-    return first.unionByName(second)
+    return _edges(parts).unionByName(last)
+
+
+def _with_heavy(rows: DataFrame, across: DataFrame, heavy: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` with ``heavy``: of an entry of a heavy list, all heavy lists of its band that its set is in.
+
+    Null for entries of other lists, and for sets in more than ``TOLD`` of them: their pairs come from each list.
+    """
+    lists = ["token", "band"]
+    own = across.join(_few(heavy), lists).groupBy("node", "band")
+    own = own.agg(F.collect_set("token").alias("heavy")).where(F.size("heavy") <= TOLD)
+    own = scratch.keep(own.select(F.explode("heavy").alias("token"), "band", "node", "heavy"), "told")
+    return rows.join(_few(own), [*lists, "node"], "left")
+
+
+def _edges(parts: DataFrame) -> DataFrame:
+    """Links ``u, v`` that give the components of ``node, component``."""
+    return parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
+
+
+def _across(postings: DataFrame, parts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The entries of lists with two components or more, and the lists with more than ``CLOSE`` pairs across them an entry."""
+    rows = postings.join(_few(parts), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # A component's sets in a list are counted before the list is.
+    own = rows.groupBy("token", "band", "component").agg(F.count("*").alias("n"))
+    lists = own.groupBy("token", "band").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside")
+    )
+    mixed = scratch.keep(lists.where("parts > 1"), "mixed")
+    entries = scratch.keep(rows.join(_few(mixed.select("token", "band")), ["token", "band"]), "across")
+    heavy = scratch.keep(mixed.where(f"n * n - inside > {2 * CLOSE} * n").select("token", "band"), "heavy")
+    scratch.drop(mixed)
+    return entries, heavy
+
+
+def _stars(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every list's sets ``v`` with up to ``HUBS`` sets ``u`` of the list, no two of a component.
+
+    Sets that stand in many of these lists come first, as they are likely to be similar to many; those of the list's
+    own size class before others, as they pair with all.
+    """
+    degrees = scratch.keep(rows.groupBy("node").agg(F.count("*").alias("degree")), "degrees")
+    order = F.struct(
+        (F.col("bucket") == F.col("band")).alias("own"), "degree",
+        *["node", "component", "n_shingles", "e", "bucket", "bits"],
+    )
+    best = rows.join(_few(degrees), "node").groupBy("token", "band", "component").agg(F.max(order).alias("hub"))
+    place = F.row_number().over(Window.partitionBy("token", "band").orderBy(F.desc("hub.own"), F.desc("hub.degree"), "hub.node"))
+    hubs = best.withColumn("place", place).where(F.col("place") <= HUBS).select("token", "band", "hub.*")
+    one, two = (
+        _as(side, name, F.col("component").alias(f"c{name}"), F.col("bits").alias(f"bits_{name}"))
+        for side, name in ((rows, "v"), (hubs, "u"))
+    )
+    return one.join(two, ["token", "band"])
 
 
 def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
