@@ -123,3 +123,34 @@ def test_odd_tables(spark, index, options):
         assert vi.search_exact(queries.limit(0), index, **options).count() == 0
     with pytest.raises(ValueError):
         vi.build_index(corpus, index, "other")
+
+
+def test_queries_of_many_cells_are_dealt_in_steps():
+    import tracemalloc
+    from types import SimpleNamespace as Stub
+
+    import pyarrow as pa
+
+    n, cells = 4000, 500
+    kinds = {"query_id": "bigint", "embedding": "array<float>"}
+    asked = Stub(
+        sparkSession=Stub(sparkContext=Stub(broadcast=lambda x: Stub(value=x))),
+        schema=Stub(fields=[Stub(name=k, dataType=Stub(simpleString=lambda v=v: v)) for k, v in kinds.items()]),
+        mapInArrow=lambda deal, schema: deal,
+    )
+
+    def lists(values, width):
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(values))
+
+    columns = [pa.array(np.arange(n)), lists(np.ones(4 * n, np.float32), 4), lists(np.tile(np.arange(cells), n), cells)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["query_id", "embedding", "cells"])
+    deal = vi._dealt(asked, np.arange(cells), np.arange(cells) // 50)
+    tracemalloc.start()
+    rows = got = 0
+    for out in deal(iter([batch])):
+        rows, got = rows + out.num_rows, got + len(out.column("cells").flatten())
+        assert (out.column("cells").flatten().to_numpy() // 50 == np.repeat(out.column("bundle"), 50)).all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 10 * n and got == cells * n
+    assert peak < 32 * 1024 * 1024  # all at once it takes more than 48 MB

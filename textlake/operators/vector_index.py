@@ -45,6 +45,8 @@ MAX_CENTRES, MAX_CELLS = 4096, 65_536
 LIST_ROWS = 1_000_000
 # Queries that meet a list in one task.
 GROUP_QUERIES = 20_000
+# Cells that are dealt to bundles at a time within one task.
+ASKED = 500_000
 # Cells that a query goes to where nothing was measured; vectors that ``tune_index`` measures on, about.
 PROBES, TUNE_ROWS = 8, 500
 
@@ -400,7 +402,9 @@ def _dealt(asked: DataFrame, numbers: np.ndarray, bundle: np.ndarray) -> DataFra
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, bundle = sent.value
-        for batch in batches:
+        # A query may name every cell, so a batch of them is dealt in steps of a bounded number of cells.
+        step = max(1, ASKED // max(len(numbers), 1))
+        for batch in (b.slice(at, step) for b in batches for at in range(0, b.num_rows, step)):
             lists = batch.column("cells")
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
             cell = lists.flatten().to_numpy()
