@@ -19,15 +19,18 @@ from textlake.sources.writers import round_trip
 
 
 def _embedded(chunks: DataFrame, known: DataFrame | None, load_encoder) -> DataFrame:
-    """Chunks with ``chunk_hash`` and ``embedding``; those that ``known`` has are not embedded."""
+    """Chunks with ``chunk_hash`` and ``embedding``, dealt by ``bucket``; those that ``known`` has are not embedded.
+
+    Texts are dealt before they are embedded: their vectors are several times their size.
+    """
     chunks = chunks.withColumn("chunk_hash", F.sha2("text", 256))
     if known is None:
-        return embed_text(chunks, load_encoder)
+        return embed_text(chunks.hint("rebalance", "bucket"), load_encoder)
     # One vector for each text; a text without words has none, which is known, too.
     known = known.groupBy("chunk_hash").agg(F.first("embedding").alias("embedding"))
     met = chunks.join(few(known), "chunk_hash")
     new = chunks.join(few(known.select("chunk_hash")), "chunk_hash", "left_anti")
-    return embed_text(new, load_encoder).unionByName(met)
+    return embed_text(new.hint("rebalance", "bucket"), load_encoder).unionByName(met.hint("rebalance", "bucket"))
 
 
 def update_vector_versions(
@@ -71,10 +74,11 @@ def update_vector_versions(
             "id", F.concat_ws("#", F.col("doc_id").cast("string"), F.col("chunk_no").cast("string"))
         )
         if replaced:
-            kept = not_in(table.read(base, replaced), todo.select("doc_id"), ["doc_id"])
+            # Files hold one part each, so what stays is written from where it lies.
+            kept = not_in(table.read(base, replaced), few(todo.select("doc_id")), ["doc_id"])
             rows = rows.select(*base.schema.names).unionByName(kept)
         # Tasks write few parts each, and a part that is large is written by several.
-        staged = table.stage(rows.hint("rebalance", "bucket"), "bucket")
+        staged = table.stage(rows, "bucket")
         if base is not None and not staged and not replaced:
             return base  # new documents without any text
         return table.commit(staged, base.schema if base else rows.schema, base, replaced)
