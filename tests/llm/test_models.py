@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -349,3 +350,18 @@ def test_words_too_unlikely_for_a_double_keep_their_score():
     got = lm.mixed_scores(read, SimpleNamespace(ends=5, n=100), logs, np.array([0.1, 0.0]))
     half = np.log10(0.5)
     assert np.allclose(got, [half + np.log10(0.11) + half - 900 + half + np.log10(0.15)])
+
+
+def test_the_fit_holds_a_block_at_a_time(spark):
+    draw = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in draw.choice(30_000, 500, replace=False)) for _ in range(1500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2, int(i % 7 == 0)) for i in range(1500)], "doc_id long, quality int, toxic int")
+    tracemalloc.start()
+    try:
+        weights, bias = soft_mixing.train(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # 500 words a text, each an entry of the sample, besides its bytes.
+    assert np.isfinite(weights).all() and weights.any() and peak < 24 * 500 * 1500

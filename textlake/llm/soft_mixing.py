@@ -37,7 +37,12 @@ _SLACK = 1e-10
 # Parts of a step that are tried, all at once.
 _PARTS = [4.0**-i for i in range(12)]
 
+# Rows of the sample that the fit works on at a time.
+_BLOCK = 500
+
 _WORDS = 1 << 16
+# The value of a word that occurs.
+_OCCURS = 0.2
 _FIRST, _LAST, _AGAIN = _WORDS, _WORDS + 256, _WORDS + 512
 FEATURES = _AGAIN + 1
 
@@ -73,7 +78,7 @@ def features(piece: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     rows = [row, row, row, row[again]]
     keys, counts = np.unique(np.concatenate(rows) * FEATURES + np.concatenate(kinds), return_counts=True)
     row, feature = keys // FEATURES, keys % FEATURES
-    value = np.where(feature < _WORDS, 0.2, 3 * np.sqrt(counts / n[row]))
+    value = np.where(feature < _WORDS, _OCCURS, 3 * np.sqrt(counts / n[row]))
     return row, feature, value, n
 
 
@@ -85,57 +90,78 @@ def _log_posteriors(row, feature, value, n_rows: int, weights: np.ndarray, bias:
     return score - np.log(np.exp(score).sum(axis=1, keepdims=True))
 
 
-def fit(row, feature, value, label: np.ndarray, n_domains: int, rounds: int = 120):
-    """A multinomial logistic regression, by full-batch gradient steps of adapted size."""
+def fit(blocks, label: np.ndarray, n_domains: int, rounds: int = 120):
+    """A multinomial logistic regression, by full-batch gradient steps of adapted size.
+
+    ``blocks`` is called in every round and gives the rows in order, a part at a time: the rows, features and
+    values of its entries, and its number of rows. What the steps need besides is as large as a part.
+    """
     weights = np.zeros((FEATURES, n_domains))
     share = np.bincount(label, minlength=n_domains) + 1e-3
     bias = np.log(share / share.sum())
-    wanted = np.eye(n_domains)[label]
     seen = np.full_like(weights, 1e-8)
     for _ in range(rounds):
-        p = np.exp(_log_posteriors(row, feature, value, len(label), weights, bias))
-        error = (p - wanted) / len(label)
+        gradients, errors = np.zeros((n_domains, FEATURES)), np.zeros(n_domains)
+        low = 0
+        for row, feature, value, n in blocks():
+            p = np.exp(_log_posteriors(row, feature, value, n, weights, bias))
+            error = (p - np.eye(n_domains)[label[low : low + n]]) / len(label)
+            for k in range(n_domains):
+                gradients[k] += np.bincount(feature, value * error[row, k], FEATURES)
+            errors += error.sum(axis=0)
+            low += n
         for k in range(n_domains):
-            gradient = np.bincount(feature, value * error[row, k], FEATURES) + 1e-6 * weights[:, k]
+            gradient = gradients[k] + 1e-6 * weights[:, k]
             seen[:, k] += gradient**2
             weights[:, k] -= 0.3 * gradient / np.sqrt(seen[:, k])
-        bias -= 0.3 * error.sum(axis=0)
+        bias -= 0.3 * errors
     return weights, bias
 
 
 def _feature_rows(batches):
+    """Features of all texts, and values of those that are shares; words all have the same value."""
     for batch in batches:
         names, values = [], []
         for piece in slices(batch.column("text")):
             row, feature, value, n = features(piece)
             cut = np.searchsorted(row, np.arange(len(n) + 1))
             names += [feature[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            values += [value[a:b].astype(np.float32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            share = feature >= _WORDS
+            cut = np.concatenate([[0], np.cumsum(share)])[cut]
+            value = value[share].astype(np.float32)
+            values += [value[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("domain"),
                 pa.array(names, pa.list_(pa.int32())),
                 pa.array(values, pa.list_(pa.float32())),
             ],
-            names=["domain", "feature", "value"],
+            names=["domain", "feature", "share"],
         )
 
 
+def _blocks(sample: pa.Table):
+    """The entries of the sample as ``fit`` takes them; only the block at hand is laid out."""
+    for batch in sample.to_batches(max_chunksize=_BLOCK):
+        feature = batch.column("feature").flatten().to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), batch.column("feature").value_lengths().to_numpy())
+        value = np.full(len(feature), _OCCURS, np.float32)
+        value[feature >= _WORDS] = batch.column("share").flatten().to_numpy()
+        yield row, feature, value, batch.num_rows
+
+
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS):
     """Weights and biases of the classifier over the domains, from the labels table."""
     sample = labelled_sample(documents, labels, F.lit(True), rows, ["quality", "toxic"])
     sample = sample.select(domain(F.col("quality"), F.col("toxic")).alias("domain"), "text")
-    got = sample.mapInArrow(
-        _feature_rows, "domain int, feature array<int>, value array<float>"
-    ).toArrow()  # SAMPLE_ROWS rows
-    label = got.column("domain").to_numpy().astype(np.int64)
-    if not len(label):
+    got = (
+        sample.mapInArrow(_feature_rows, "domain int, feature array<int>, share array<float>")
+        .toArrow()  # SAMPLE_ROWS rows
+        .combine_chunks()
+    )
+    if not len(got):
         return np.zeros((FEATURES, len(TARGETS))), np.zeros(len(TARGETS))
-    lists = got.column("feature").combine_chunks()
-    size = lists.value_lengths().to_numpy()
-    value = got.column("value").combine_chunks().flatten().to_numpy().astype(float)
-    row = np.repeat(np.arange(len(label)), size)
-    return fit(row, lists.flatten().to_numpy().astype(np.int64), value, label, len(TARGETS))
+    return fit(lambda: _blocks(got), got.column("domain").to_numpy(), len(TARGETS))
 
 
 # --- rates -------------------------------------------------------------------
