@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textlake.llm import jaccard_join, registry
 from textlake.llm.components import components
-from textlake.llm.storage import FREE_SHUFFLES, Scratch
+from textlake.llm.storage import BATCH_BYTES, FREE_SHUFFLES, Scratch
 from textlake.llm.words import run_hash, shingles, slices, words
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
@@ -216,3 +216,16 @@ def test_a_pair_of_a_large_group_comes_once(spark, monkeypatch, told):
     if told > 1:
         # Every pair by its own row; before, one for each list that both are in.
         assert last == pairs
+
+
+def test_sets_are_made_of_few_bytes_at_a_time(spark):
+    docs = spark.range(2000, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat(id, ' '), 2000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    scratch = Scratch(spark, "batches", jaccard_join.BATCH_BYTES)
+    before = spark.conf.get(BATCH_BYTES)
+    most = scratch.keep(docs.mapInArrow(sizes, "n long"), "sizes").agg(F.max("n")).first()[0]
+    assert most < 2 * jaccard_join.BATCH_BYTES and spark.conf.get(BATCH_BYTES) == before

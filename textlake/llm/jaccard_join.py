@@ -52,6 +52,8 @@ EXTRA = 3
 STARS, HUBS, CLOSE = 1, 16, 8
 # Long lists that an entry names, at most.
 TOLD = 64
+# Bytes of texts that are made into sets at a time: a task holds them, their sets and what Arrow buffers for both.
+BATCH_BYTES = 4 << 20
 # Words of 64 bits in a set's bit map.
 BIT_WORDS = 16
 # Verifying a pair against merging one entry of a list; each further shared shingle is
@@ -409,7 +411,7 @@ def _found(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
 
     ``first`` is the smallest ``doc_id, digest`` of the component.
     """
-    scratch = Scratch(documents.sparkSession, "near-copies")
+    scratch = Scratch(documents.sparkSession, "near-copies", BATCH_BYTES)
     documents = documents.select("doc_id", "text")
     wide = scratch.keep(_set_rows(documents, size, percent, whole=False), "sets")
     sets = scratch.keep(wide.select("doc_id", "n_shingles", "digest"), "digests")
