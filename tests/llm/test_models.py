@@ -146,6 +146,36 @@ def test_training_lowers_the_loss():
     assert after > 0.7 * before
 
 
+def test_windows_wait_without_being_copied_for_each_step(monkeypatch):
+    draw = random.Random(1)
+    texts = [" ".join(draw.choices(["some", "words", "to", "learn"], k=900)) for _ in range(60)]
+    taken, copied = [], []
+    monkeypatch.setattr(lm.Steps, "take", lambda self, *parts: taken.append(parts))
+    joined = np.concatenate
+
+    def concatenate(arrays, *rest, **named):
+        made = joined(arrays, *rest, **named)
+        copied.append(len(made) if made.ndim == 2 else 0)
+        return made
+
+    learned = small_model()
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 20])], names=["text"]) for i in (0, 20, 40)]
+    monkeypatch.setattr(np, "concatenate", concatenate)
+    assert not list(lm._learn_rows(batches, PATH, learned.class_of, learned.flat, 0.01))
+    monkeypatch.undo()
+    # All windows, in order, and as many at a time as ever.
+    inputs, wanted, _, begins = lm._classes(lm.Read(next(slices(pa.array(texts))), PATH), learned.class_of)
+    at, there = lm.windows(begins)
+    at = at.clip(0, len(inputs) - 1)
+    for got, whole in zip(zip(*taken, strict=True), (inputs[at], there, wanted[at[:, lm.STRIDE :]]), strict=True):
+        assert [len(g) for g in got[:-1]] == [lm.BATCH] * (len(got) - 1) and 0 < len(got[-1]) <= lm.BATCH
+        assert np.where(there[:, -len(whole[0]) :], whole, 0).tolist() == np.where(
+            there[:, -len(whole[0]) :], joined(got), 0
+        ).tolist()
+    # Three arrays of windows, each joined once or twice.
+    assert sum(copied) <= 6 * len(at)
+
+
 @pytest.mark.parametrize("text", ["a few words", "other words here", "one more of them", "and the last text"])
 def test_every_training_text_is_learned_from(spark, text):
     rows = spark.createDataFrame([(text,)], "text string")
